@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import bpe, simhash, toxicity
 from tessera.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_bpe,)}
+    return {f.__name__: f for f in (op1_toxicity, op7_simhash, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
