@@ -65,3 +65,12 @@ def sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
     if n <= bound:
         return df
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
+
+
+#: Rows of a side that may be broadcast, once they have been counted.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if it was counted to have at most that many rows; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, simhash, toxicity
+from tessera.llm import bpe, decontaminate, simhash, sketch, toxicity
 from tessera.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
@@ -23,9 +27,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY))
 
 
+def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op7_simhash, op8_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op5_decontaminate, op7_simhash, op8_bpe, op10_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontaminate": decontaminate.ORACLE}
