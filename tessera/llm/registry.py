@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, simhash, sketch, toxicity
+from tessera.llm import bpe, decontaminate, langid, linededup, simhash, sketch, toxicity, urltree
 from tessera.llm.common import table
 
 
@@ -15,6 +15,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(table(spark, sf_dir, "pages"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -27,13 +35,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out(table(spark, sf_dir, "documents"))
+
+
 def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op5_decontaminate, op7_simhash, op8_bpe, op10_sketch)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_tree, op3_line_dedup, op5_decontaminate, op7_simhash, op8_bpe, op9_language_id, op10_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": decontaminate.ORACLE}
+    return {"op2_url_tree": urltree.ORACLE, "op5_decontaminate": decontaminate.ORACLE}
