@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, langid, linededup, quality, simhash, sketch, toxicity, urltree
+from tessera.llm import bpe, decontaminate, langid, linededup, ngramtrie, quality, simhash, sketch, toxicity, urltree
 from tessera.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramtrie.held_out(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_tree, op3_line_dedup, op4_quality, op5_decontaminate, op7_simhash, op8_bpe, op9_language_id, op10_sketch)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_tree, op3_line_dedup, op4_quality, op5_decontaminate, op6_ngram_trie, op7_simhash, op8_bpe, op9_language_id, op10_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
