@@ -86,8 +86,8 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     texts = found.groupBy("item").agg(F.first("words").alias("item_words"))
     per_row = diagonals(postings(base, index)).join(small(texts, 10_000), "item").groupBy("row_key").agg(F.collect_list(F.struct("item", "shift", "item_words")).alias("candidates"))
     candidates = scratch.cut(per_row).select(F.col("row_key").alias("key"), "candidates")
-    row = base.select("doc_id", "row_key", words(F.col("text")).alias("words"))
-    joined = row.join(candidates, row["row_key"].eqNullSafe(candidates["key"]), "left")
+    # the texts are shuffled at any size, not their words, which take more room
+    joined = base.join(candidates.hint("merge"), base["row_key"].eqNullSafe(candidates["key"]), "left").select("doc_id", "candidates", words(F.col("text")).alias("words"))
 
     def occurring(x: Column) -> Column:
         """Starts, in the document, of the item's windows that occur on this diagonal."""
