@@ -266,3 +266,42 @@ def verified(points: DataFrame, dim: int, expected: DataFrame | None = None) ->
         return by.withColumn("passed", (F.col("bad_dim") == 0) & (F.col("duplicates") == 0))
     out = by.join(expected, "collection", "full").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.withColumn("passed", (F.col("n") == F.col("expected")) & (F.coalesce("bad_dim", F.lit(0)) == 0) & (F.coalesce("duplicates", F.lit(0)) == 0))
+
+
+class EmbeddingCache:
+    """Cache rows as Parquet, partitioned by role, at a path in any store. A table that can't be read is moved aside and a new one begun."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.store = spark, path.rstrip("/"), PointStore(spark, path)
+
+    def read(self) -> DataFrame:
+        """The rows; none if there is no table or if it can't be read."""
+        here, fs = self.store._fs(self.path)
+        if fs.exists(here):
+            try:
+                rows = self.spark.read.schema(CACHE_SCHEMA).parquet(self.path)
+                rows.agg(F.count("vector"), F.max("cache_key")).collect()  # reads every file, so a broken one shows
+                return rows
+            except Exception:
+                stamp = self.spark.range(1).select(F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss'Z'").alias("t")).first()["t"]
+                fs.rename(here, self.store._fs(f"{self.path}.corrupt.{stamp}")[0])
+        return self.spark.createDataFrame([], CACHE_SCHEMA)
+
+    def add(self, rows: DataFrame) -> None:
+        """Adds rows; a key that is there already is replaced. New rows alone are appended, without rewriting the table."""
+        fresh = rows.select(*[c.split(" ")[0] for c in CACHE_SCHEMA.split(", ")])
+        old = self.read()
+        if old.join(fresh.select("cache_key"), "cache_key", "left_semi").isEmpty():
+            fresh.dropDuplicates(["cache_key"]).write.mode("append").partitionBy("role").parquet(self.path)
+            return
+        new = f"{self.path}.new"
+        upserted(old, fresh, "cache_key").select(*fresh.columns).write.mode("overwrite").partitionBy("role").parquet(new)
+        here, fs = self.store._fs(self.path)
+        fs.delete(here, True)
+        fs.rename(self.store._fs(new)[0], here)
+
+    def get(self, role: str, texts: DataFrame) -> DataFrame:
+        """The cached rows of texts (text) in a role."""
+        model = model_for(F.lit(role))
+        keys = texts.select(cache_key(model, F.lit(role), F.col("text")).alias("cache_key")).distinct()
+        return self.read().where(F.col("role") == role).join(keys, "cache_key", "left_semi")

@@ -66,7 +66,7 @@ def shown(hits: DataFrame, chars: int = 180, places: int = 6) -> DataFrame:
 
 def context(queries: DataFrame, standards: DataFrame, passages: DataFrame, max_chars: int = CONTEXT_CHARS, passage_chars: int = PASSAGE_CHARS) -> DataFrame:
     """(query_id, context): a text with a query's standards and passages in order of rank, each passage and the whole within limits."""
-    four = lambda c: F.format_string("%.4f", c)
+    four = lambda c: F.format_number(c, 4)  # noqa: E731  # rounds the exact value, half to even
     preview = F.translate(F.substring("content_text", 1, 500), "\n", " ")
     head = F.concat(F.lit("- score="), four(F.col("score")), F.lit(" standard_id="), "standard_id", F.lit(" collection="), "collection")
     s_text = F.when(preview != "", F.concat(head, F.lit("\n  summary: "), preview)).otherwise(head)

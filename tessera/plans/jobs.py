@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import TokenCount, estimated_tokens
-from tessera.model.profiles import PROFILES, collection_of
+from tessera.model.profiles import COLLECTION_BY_STANDARD, PROFILES, collection_of
 from tessera.operators import chunks as C
+from tessera.operators import evaluate, search
 from tessera.operators import points as P
 from tessera.operators.numbering import unknown_ratio
 from tessera.operators.render import files, write_files
@@ -69,3 +72,72 @@ def ingest(spark: SparkSession, folder: str, family: str, store: P.PointStore |
 def run_metrics(results: DataFrame) -> DataFrame:
     """One row of totals over runs (standard_id, points, failed, drift, pruned, elapsed)."""
     return results.agg(F.count("*").alias("standards"), F.sum("points").alias("points"), F.count(F.when(F.col("failed") > 0, 1)).alias("failed_standards"), F.sum("drift").alias("drift"), F.sum("pruned").alias("pruned"), F.round(F.sum("elapsed"), 3).alias("elapsed"))
+
+
+#: Settings of an ingest that need its points to be written, with their defaults.
+UPSERT_OPTIONS = {"collection": "audit_standards", "batch_size": P.BATCH, "store": None, "client": None, "cache": None, "metrics_out": None, "dry_run": False, "prune_stale": False}
+
+
+def check_options(upsert: bool, **options) -> None:
+    """Raises where an option that only writing points uses is set without writing them, or isn't known."""
+    unknown = sorted(set(options) - set(UPSERT_OPTIONS))
+    if unknown:
+        raise ValueError(f"[OPTION] unknown: {unknown}")
+    used = [k for k, v in options.items() if v is not UPSERT_OPTIONS[k] and v != UPSERT_OPTIONS[k]]
+    if not upsert and used:
+        raise ValueError(f"[OPTION] upsert is required for: {', '.join(used)}")
+
+
+def targets(spark: SparkSession, only: str | None = None) -> DataFrame:
+    """(ordinal, standard_id, collection) of the families with one document, in their order; `only` names a standard or a collection."""
+    rows = [(i, s, c) for i, (s, c) in enumerate(COLLECTION_BY_STANDARD.items()) if only in (None, s, c)]
+    if not rows:
+        raise ValueError(f"[TARGET] unknown: {only!r}; known: {sorted([*COLLECTION_BY_STANDARD, *COLLECTION_BY_STANDARD.values()])}")
+    return spark.createDataFrame(rows, "ordinal int, standard_id string, collection string")
+
+
+def skipped(files: DataFrame, made: DataFrame) -> DataFrame:
+    """(standard_id) of files (file_name) that no document (standard.standard_id) was made of."""
+    named = files.select(F.regexp_replace("file_name", r"\.md$", "").alias("standard_id"))
+    return named.join(made.select(F.col("standard.standard_id").alias("standard_id")), "standard_id", "left_anti")
+
+
+def write_metrics(row: DataFrame, path: str) -> None:
+    """A one-row result as a JSON file in a folder, nulls written out."""
+    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def embedded_queries(texts: DataFrame, client: P.Client, dim: int = P.DIM) -> DataFrame:
+    """texts (query_id, query_text, ..) with query_vector, by the model for queries; equal texts are embedded once."""
+    rows, wanted = P.requested(texts.withColumn("role", F.lit("query")).withColumn("text", F.col("query_text")), None)
+    vectors = P.embedded(wanted, client, dim).select("cache_key", F.col("vector").alias("query_vector"))
+    return rows.join(vectors, "cache_key").drop("cache_key", "role", "text", "model", "tiktoken_tokens")
+
+
+def evaluate_golden(seeds: DataFrame, points: DataFrame, client: P.Client, dim: int = P.DIM, recall_k: int = 5, mrr_k: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(judged seeds, metrics by category and language, totals) of golden seeds over the passages of points."""
+    asked = embedded_queries(seeds, client, dim)
+    hits = search.search(asked.select("query_id", "query_vector"), points.where("vector_role = 'passage'"), max(recall_k, mrr_k))
+    rows = evaluate.judged(evaluate.first_hits(seeds, hits), recall_k, mrr_k)
+    return rows, evaluate.metrics(rows), evaluate.totals(rows)
+
+
+def smoke(queries: DataFrame, points: DataFrame, client: P.Client, dim: int = P.DIM, n: int = 3, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The nearest summaries and passages of queries (query_id, query_text), as reports."""
+    asked = embedded_queries(queries, client, dim).select("query_id", "query_vector")
+    first, second = search.two_stage(asked, points.where("vector_role = 'summary'"), points.where("vector_role = 'passage'"), n, k)
+    return search.shown(first), search.shown(second)
+
+
+def answer(queries: DataFrame, points: DataFrame, client: P.Client, model: Callable[[str, str], str] | None = None, dim: int = P.DIM, n: int = 3, k: int = 5) -> list[dict]:
+    """Context of each query from the nearest standards of all collections and their passages; with a model (question, context) also its answer.
+
+    The queries are a user's few, so their contexts are brought to the driver, where the model is called."""
+    asked = embedded_queries(queries, client, dim)
+    vectors = asked.select("query_id", "query_vector")
+    standards = search.across(vectors, points.where("vector_role = 'summary'"), n)
+    wanted = standards.select("query_id", "standard_id", "collection").distinct()
+    near = search.scored(vectors, points.where("vector_role = 'passage'")).join(wanted, ["query_id", "standard_id", "collection"])
+    passages = search.reranked(search.top(near, ["query_id", "standard_id"], k).drop("rank"))
+    rows = search.context(asked.select("query_id", "query_text"), standards, passages).join(asked.select("query_id", "query_text"), "query_id")
+    return [{"query_id": r["query_id"], "context": r["context"], "answer": model(r["query_text"], r["context"]) if model else None} for r in rows.collect()]

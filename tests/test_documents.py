@@ -75,9 +75,12 @@ def test_blocks(spark, isa):
     assert (rows["다시"]["paragraph_id"], rows["다시"]["standard_no"], rows["다시"]["standard_title"]) == ("1.", "300", "다음")
 
 
-def test_markdown_round_trip(spark, isa, tmp_path):
-    made = jobs.convert(spark, isa, "ISA", str(tmp_path / "md"))
-    files = {r["file_name"]: r["content"] for r in made.collect()}
+@pytest.fixture(scope="module")
+def files(spark, isa, tmp_path_factory):
+    return {r["file_name"]: r["content"] for r in jobs.convert(spark, isa, "ISA", str(tmp_path_factory.mktemp("out") / "md")).collect()}
+
+
+def test_markdown_round_trip(spark, isa, files, tmp_path):
     assert set(files) == {"_prelude.md", "ISA-200.md", "ISA-300.md"}
     assert files["ISA-200.md"].startswith('---\nschema_version: "1.0"\nstandard_id: "ISA-200"\nstandard_no: "200"\nstandard_title: "제목"\n')
     assert "| a\\|b | c |\n| --- | --- |\n| d\\\\e | f |\n<!-- kind: table | rows: 2 | cols: 2 | idx: " in files["ISA-200.md"]
@@ -277,20 +280,26 @@ def test_collisions_and_links(spark):
         C.unique(spark.createDataFrame(rows, schema)).collect()
 
 
-def test_store(spark, isa, tmp_path):
-    made = jobs.convert(spark, isa, "ISA", str(tmp_path / "md"))
+def test_store(spark, files, tmp_path):
     folder = tmp_path / "flat"
     folder.mkdir()
-    for r in made.collect():
-        (folder / r["file_name"]).write_text(r["content"])
+    for name, content in files.items():
+        (folder / name).write_text(content)
     store = P.PointStore(spark, str(tmp_path / "store"))
-    calls = spark.sparkContext.accumulator(0)
     client = P.hash_client(8)
     jobs.ingest(spark, str(folder), "ISA", store, client, dim=8)
     n = store.count("audit_standards")
     standards, chunks, _, summaries = jobs.parsed(spark, str(folder), "ISA")
     assert n == chunks.count() + 2
     points = store.read("audit_standards")
+    near = points.withColumn("collection", F.lit("c"))
+    first = chunks.where("kind = 'application_guidance'").first()
+    seeds = spark.createDataFrame([("q", first["content_text"], "k", [first["chunk_id"]], ["ISA-200"], "ko")], "query_id string, query_text string, category string, expected_chunk_ids array<string>, expected_standard_ids array<string>, lang_mix string")
+    rows, by, all_ = jobs.evaluate_golden(seeds, points, client, 8)
+    assert all_.first()["seed_count"] == 1 and by.count() == 3 and rows.first()["hit_rank"] is None or rows.first()["hit_rank"] >= 1
+    told = jobs.answer(seeds.select("query_id", "query_text"), near, client, lambda q, c: f"{len(c)}", 8)
+    assert told[0]["context"].startswith("# ") and told[0]["answer"] == str(len(told[0]["context"]))
+    assert [df.count() for df in jobs.smoke(seeds.select("query_id", "query_text"), points, client, 8)] == [2, 5]
     first = points.where("vector_role = 'passage'").first()
     spark.createDataFrame(points.collect(), points.schema).write.parquet(str(tmp_path / "copy"))
     copy = spark.read.parquet(str(tmp_path / "copy"))
@@ -300,6 +309,43 @@ def test_store(spark, isa, tmp_path):
     assert told["pruned"] == 1 and told["drift"] in (0, 1) and store.count("audit_standards") == n - 1
 
 
+def test_options_and_targets(spark, tmp_path):
+    jobs.check_options(True, prune_stale=True)
+    with pytest.raises(ValueError, match="prune_stale"):
+        jobs.check_options(False, prune_stale=True, collection="audit_standards")
+    assert [r["standard_id"] for r in jobs.targets(spark, "ISQM-1").collect()] == ["ISQM-1"] and jobs.targets(spark).count() == 3
+    with pytest.raises(ValueError, match="TARGET"):
+        jobs.targets(spark, "none")
+    jobs.write_metrics(spark.range(1).select(F.lit(None).cast("string").alias("a"), "id"), str(tmp_path / "m"))
+    assert '"a":null' in "".join(p.read_text() for p in (tmp_path / "m").glob("*.json"))
+
+
+def test_cache_table(spark, tmp_path):
+    cache = P.EmbeddingCache(spark, str(tmp_path / "cache"))
+    texts = spark.createDataFrame([("passage", "a"), ("query", "b")], "role string, text string")
+    _, wanted = P.requested(texts, cache.read())
+    cache.add(P.embedded(wanted, P.hash_client(4), dim=4))
+    cache.add(P.embedded(wanted, P.hash_client(4), dim=4))
+    assert cache.read().count() == 2 and cache.get("passage", texts.select("text")).count() == 1
+    assert P.requested(texts, cache.read())[1].count() == 0
+    part = next((tmp_path / "cache").rglob("*.parquet"))
+    part.write_bytes(b"broken")
+    for crc in part.parent.glob(".*.crc"):
+        crc.unlink()
+    assert cache.read().count() == 0 and list(tmp_path.glob("cache.corrupt.*"))
+
+
+def test_stream_merges_repeatably(spark, tmp_path):
+    from tessera.streaming.ingest import merge_stream
+
+    schema = "point_id string, chunk_id string, standard_id string, content_text_hash string"
+    spark.createDataFrame([("1", "a", "S", "x"), ("2", "b", "S", "y")], schema).write.parquet(str(tmp_path / "in"))
+    store = P.PointStore(spark, str(tmp_path / "store"))
+    for run in ("one", "two"):
+        merge_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), store, "c", str(tmp_path / run)).awaitTermination()
+    assert store.count("c") == 2
+
+
 def test_embedding_cache(spark):
     texts = spark.createDataFrame([("passage", "a"), ("passage", "b"), ("passage", "a"), ("query", "a")], "role string, text string")
     _, wanted = P.requested(texts, None)
