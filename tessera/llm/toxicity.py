@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments.
 
-Training counts, over a bounded sample of labelled rows, the words and word prefixes of toxic and of other texts (each
-text's copies count once). A feature's score is its log-odds under an informative Dirichlet prior, kept where it is
+Training counts, over a bounded sample of labelled rows, the words and word prefixes of toxic and of other texts, each
+context of a word once, so that copied passages count once too. A feature's score is its log-odds under an informative Dirichlet prior, kept where it is
 significantly toxic; all other words cost a constant drift. A linear scan finds every maximal scoring segment of a text
 (the all-maximal-segments problem), extreme-value theory turns a segment's score into an expected number of chance
 segments of that score in a text of that length, and significant segments are the passages. A text's evidence is the
@@ -121,9 +121,13 @@ def evidence(found: list[tuple[int, int, float, float]]) -> float:
 
 
 def _counted(train: DataFrame) -> DataFrame:
-    """feature, y1, y0: the number of distinct texts of each kind with the word, and the same summed over prefixes' words."""
-    words = train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), JAVA_SPLIT))).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(F.sum("toxic").alias("y1"), F.sum(1 - F.col("toxic")).alias("y0"))
+    """feature, y1, y0: in how many different contexts (the word before) a word stands in texts of each kind, and the same summed over prefixes' words.
+
+    Contexts, not texts, are counted, as the words of a passage that was copied into many texts have one context."""
+    words = F.filter(F.split(F.lower("text"), JAVA_SPLIT), lambda w: w != "")
+    pairs = train.select("toxic", words.alias("words")).select("toxic", F.explode(F.transform("words", lambda w, i: F.struct(w.alias("word"), F.xxhash64(F.get("words", i - 1)).alias("before")))).alias("p")).select("toxic", "p.*")
+    met = pairs.groupBy("word", "before").agg(F.max("toxic").alias("t1"), F.max(1 - F.col("toxic")).alias("t0"))
+    counts = met.groupBy("word").agg(F.sum("t1").alias("y1"), F.sum("t0").alias("y0"))
     prefixes = F.array(*(F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in PREFIXES))
     return counts.select(F.explode(F.concat(F.array("word"), prefixes)).alias("feature"), "word", "y1", "y0").where("feature is not null").groupBy("feature").agg(
         F.sum("y1").alias("y1"), F.sum("y0").alias("y0")
