@@ -390,3 +390,16 @@ def test_url_tree(spark):
     own = pages.withColumn("bad", F.when(F.col("url").contains("/fr/"), 1).when(F.col("url").contains("/de/"), 0))
     labelled = {urls[r["page_id"]]: r["verdict"] for r in urltree.judge(own, rules=(), label="bad").collect()}
     assert labelled["http://a.example.net/fr/3"] == "block" and labelled["http://a.example.net/de/3"] == "allow"
+
+
+def test_null_ids_and_nulls_everywhere(spark):
+    df = spark.createDataFrame([(None, "alpha beta gamma delta " * 20, None), (None, None, None), (5, "alpha beta gamma delta " * 20, "en"), (5, None, "en"), (6, "other words here", None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(None, None, None), (5, 1, 1), (6, 0, 0)], "doc_id long, toxic int, quality int")
+    bench = spark.createDataFrame([(None, "gamma delta alpha beta gamma delta alpha beta gamma delta"), (1, None)], "item_id long, text string")
+    assert toxicity.held_out(df, labels).count() == 5 and quality.judge(df, labels).count() == 5 and langid.held_out(df).count() == 5
+    assert ngramtrie.held_out(df).count() == 5 and sketch.edited(df).count() == 5 and bpe.digests(df, PATH).count() == 5
+    hits = [(r["doc_id"], r["contaminated"]) for r in decontaminate.digests(df, bench).collect()]
+    assert sorted(hits, key=str) == sorted([(None, True), (None, False), (5, True), (5, False), (6, False)], key=str)
+    left = {(r["doc_id"], r["text"]) for r in linededup.deduplicated(df).collect()}
+    assert (None, "alpha beta gamma delta " * 20) in left and (5, "") in left
+    assert simhash.digests(df).count() == 5 and simhash.keep_first(df).count() == 3
