@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.functions.columns import cosine
 
 #: Queries of one block, about; a block is broadcast.
 MAX_QUERIES = 10_000
+#: Bytes of the vectors of a block of queries.
+BLOCK_BYTES = 32 << 20
 CONTEXT_CHARS, PASSAGE_CHARS = 12_000, 1_200
 
 
@@ -34,22 +40,85 @@ def top(hits: DataFrame, keys: list[str], k: int, tie: str = "chunk_id", score:
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def nearest(queries: DataFrame, points: DataFrame, k: int, by: str | None = None, allowed: DataFrame | None = None) -> DataFrame:
+    """Rows of points, without their vectors, with query_id and score, that hold every query's k best: candidates for top().
+
+    by: a column of points, of whose values each has its own k best; allowed: (query_id, by), the values that a query
+    looks at. Each Arrow batch of points is multiplied with a block of queries at once and only its best for each query,
+    ties included, leave the task. A block's vectors are bounded by BLOCK_BYTES."""
+    kind = queries.schema["query_id"].dataType
+    at, width = points.columns.index("vector"), queries.agg(F.max(F.size("query_vector")).alias("d"), F.count("*").alias("n")).first()
+    size = max(1, BLOCK_BYTES // (8 * max(1, width["d"] or 1)))
+    blocks = max(1, -(-width["n"] // size))
+    schema = StructType([StructField("query_id", kind), *(f for f in points.schema.fields if f.name != "vector"), StructField("score", DoubleType())])
+    group_at = None if by is None else points.columns.index(by)
+    out = None
+    for number in range(blocks):
+        mine = lambda df: df if blocks == 1 else df.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)  # noqa: B023, E731
+        rows = mine(queries).select("query_id", F.col("query_vector").cast("array<double>").alias("v")).collect()  # a block
+        if not rows:
+            continue
+        place = {r["query_id"]: i for i, r in enumerate(rows)}
+        looks: dict | None = None
+        if allowed is not None:
+            looks = {}
+            for r in mine(allowed).select("query_id", by).distinct().collect():  # a few for each query of a block
+                looks.setdefault(r[by], []).append(place[r["query_id"]])
+        shipped = queries.sparkSession.sparkContext.broadcast((list(place), np.array([r["v"] for r in rows], np.float64), looks))
+
+        def run(batches, shipped=shipped):
+            ids, q, looks = shipped.value
+            norm = np.linalg.norm(q, axis=1)
+            q = np.divide(q, norm[:, None], out=np.zeros_like(q), where=norm[:, None] > 0)
+            names = pa.array(ids, to_arrow_type(kind))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                p = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                length = np.linalg.norm(p, axis=1)
+                p = np.divide(p, length[:, None], out=np.zeros_like(p), where=length[:, None] > 0)
+                groups = {None: np.arange(batch.num_rows)}
+                if group_at is not None:
+                    values = batch.column(group_at).to_pylist()
+                    groups = {}
+                    for i, v in enumerate(values):
+                        groups.setdefault(v, []).append(i)
+                found = []
+                for value, members in groups.items():
+                    asked = np.arange(len(q)) if looks is None else np.array(looks.get(value, []), np.int64)
+                    if len(asked):
+                        members = np.asarray(members)
+                        s = np.round(p[members] @ q[asked].T, 6)
+                        n = min(k, len(members))
+                        point, query = np.nonzero(s >= -np.partition(-s, n - 1, axis=0)[n - 1])
+                        found.append((members[point], asked[query], s[point, query]))
+                if found:
+                    point, query, s = (np.concatenate(x) for x in zip(*found, strict=True))
+                    taken = batch.take(pa.array(point))
+                    columns = [names.take(pa.array(query)), *(taken.column(i) for i in range(taken.num_columns) if i != at), pa.array(s)]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+        part = points.where(F.col("vector").isNotNull()).mapInArrow(run, schema)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else scored(queries, points).drop("vector")
+
+
 def search(queries: DataFrame, points: DataFrame, k: int, where: Column | None = None, tie: str = "chunk_id") -> DataFrame:
     """The k nearest points of each query; where filters points before anything is compared."""
-    return top(scored(queries, points if where is None else points.where(where)), ["query_id"], k, tie)
+    return top(nearest(queries, points if where is None else points.where(where), k), ["query_id"], k, tie)
 
 
 def two_stage(queries: DataFrame, summaries: DataFrame, passages: DataFrame, n: int = 3, k: int = 5, per_standard: bool = False, tie: str = "chunk_id") -> tuple[DataFrame, DataFrame]:
     """The n nearest summaries of each query, and the k nearest passages of their standards: together, or of each standard."""
     first = search(queries, summaries, n, tie=tie)
     wanted = first.groupBy("query_id", "standard_id").agg(F.min("rank").alias("standard_rank"))
-    second = scored(queries, passages).join(wanted, ["query_id", "standard_id"])
+    second = nearest(queries, passages, k, "standard_id", wanted)
     return first, top(second, ["query_id", "standard_id"] if per_standard else ["query_id"], k, tie)
 
 
 def across(queries: DataFrame, points: DataFrame, n: int, tie: str = "chunk_id") -> DataFrame:
     """The n nearest of each collection, then the n nearest of those of all collections."""
-    each = top(scored(queries, points), ["query_id", "collection"], n, tie).drop("rank")
+    each = top(nearest(queries, points, n, "collection"), ["query_id", "collection"], n, tie).drop("rank")
     return top(each, ["query_id"], n, tie)
 
 

@@ -85,7 +85,7 @@ def knn_topk(spark, sf):
 
 @query(f"WITH {_V} SELECT * FROM (SELECT query_id, chunk_id, standard_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM s WHERE standard_id IN (1, 3, 5) AND NOT chunk_id = query_id) WHERE rank <= 5")
 def knn_filtered_topk(spark, sf):
-    near = search.scored(_queries(spark, sf).select("query_id", "query_vector"), _points(spark, sf).where(F.col("standard_id").isin(1, 3, 5))).where("chunk_id <> query_id")
+    near = search.nearest(_queries(spark, sf).select("query_id", "query_vector"), _points(spark, sf).where(F.col("standard_id").isin(1, 3, 5)), 6).where("chunk_id <> query_id")
     return search.top(near, ["query_id"], 5).select("query_id", "chunk_id", "standard_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
@@ -115,7 +115,7 @@ j AS (SELECT *, coalesce(hit_rank <= 5, false) AS recalled, CASE WHEN hit_rank <
 def _ranked(spark, sf) -> DataFrame:
     """Queries with the rank of the first hit of their own label."""
     asked = _queries(spark, sf)
-    near = search.scored(asked.select("query_id", "query_vector"), _points(spark, sf)).where("chunk_id <> query_id")
+    near = search.nearest(asked.select("query_id", "query_vector"), _points(spark, sf), 11).where("chunk_id <> query_id")
     hits = search.top(near, ["query_id"], 10).select("query_id", "standard_id", "rank")
     best = hits.join(asked.select("query_id", F.col("query_label").alias("standard_id")), ["query_id", "standard_id"]).groupBy("query_id").agg(F.min("rank").alias("hit_rank"))
     return evaluate.judged(asked.select("query_id", "query_label").join(best, "query_id", "left"))

@@ -137,7 +137,8 @@ def answer(queries: DataFrame, points: DataFrame, client: P.Client, model: Calla
     vectors = asked.select("query_id", "query_vector")
     standards = search.across(vectors, points.where("vector_role = 'summary'"), n)
     wanted = standards.select("query_id", "standard_id", "collection").distinct()
-    near = search.scored(vectors, points.where("vector_role = 'passage'")).join(wanted, ["query_id", "standard_id", "collection"])
+    # collections share no standards, so a standard's passages are its collection's
+    near = search.nearest(vectors, points.where("vector_role = 'passage'"), k, "standard_id", wanted)
     passages = search.reranked(search.top(near, ["query_id", "standard_id"], k).drop("rank"))
     rows = search.context(asked.select("query_id", "query_text"), standards, passages).join(asked.select("query_id", "query_text"), "query_id")
     return [{"query_id": r["query_id"], "context": r["context"], "answer": model(r["query_text"], r["context"]) if model else None} for r in rows.collect()]

@@ -45,11 +45,15 @@ def test_styles(spark):
 
 def test_search_blocks_and_bias(spark, monkeypatch):
     monkeypatch.setattr(search, "MAX_QUERIES", 3)
+    monkeypatch.setattr(search, "BLOCK_BYTES", 200)
     rng = random.Random(5)
     vec = lambda: [rng.uniform(-1, 1) for _ in range(6)]
     pts = [(f"p{i}", f"S{i % 3}", vec()) for i in range(40)]
     qs = [(i, vec()) for i in range(10)]
     hits = search.search(spark.createDataFrame(qs, "query_id int, query_vector array<double>"), spark.createDataFrame(pts, "chunk_id string, standard_id string, vector array<double>"), 4)
+    column_form = search.top(search.scored(spark.createDataFrame(qs, "query_id int, query_vector array<double>"), spark.createDataFrame(pts, "chunk_id string, standard_id string, vector array<double>")), ["query_id"], 4)
+    rows = lambda df: sorted((r["query_id"], r["rank"], r["chunk_id"], r["score"]) for r in df.collect())
+    assert rows(column_form) == rows(hits)
     cos = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) ** 0.5 * sum(x * x for x in b) ** 0.5), 6)
     for q, v in qs:
         want = sorted(((-cos(v, p), n) for n, _, p in pts))[:4]
