@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, linededup, simhash, toxicity
-from tessera.llm.common import Scratch, table
+from tessera.llm.common import Scratch, small, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    hit = Scratch(spark, "benchmark").cut(found.where(F.size("hits") > 0).select(F.col("doc_id").alias("hit_id")).distinct())
+    return docs.join(small(hit), docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

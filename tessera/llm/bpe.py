@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_batches
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A vocabulary file is shipped to the executors whole; larger files are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Slices whose ids one Python worker remembers.
-CACHE = 300_000
+CACHE = 250_000
 #: Code points that are scanned at once, and the length of a block in the scan.
 SPAN, BLOCK = 1 << 20, 512
 #: Longer slices, in bytes, are merged one by one with a heap; a rank above all ranks.
@@ -278,6 +280,7 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def encode(docs: DataFrame, path: str, offsets: bool = True) -> DataFrame:
     """doc_id, ids array<int> and, if asked for, offsets array<int>: the code point at which each pre-token begins."""
+    small_batches(docs.sparkSession)
     shipped = _shipped(docs.sparkSession, path)
 
     def run(batches):

@@ -74,3 +74,13 @@ BROADCAST_ROWS = 500_000
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, marked for broadcast if it was counted to have at most that many rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+#: Bytes of an Arrow batch that goes to a Python worker, and the setting's default, which is replaced.
+BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = "4m", "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker and its Arrow buffers hold of a text column, unless the session has its own bound."""
+    if spark.conf.get(BATCH_KEY) in (BATCH_DEFAULT, "64m", "64MB"):
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)

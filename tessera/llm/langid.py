@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import remainder, sampled
+from tessera.llm.common import remainder, sampled, small_batches
 
 #: Labelled documents that the prototypes are fitted on, about; length of the vectors; seed.
 MAX_TRAIN, SIZE, SEED = 20_000, 512, 20
@@ -145,6 +145,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> dict[str, np.ndarray]:
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     """doc_id, lang_pred, score, cosine."""
+    small_batches(docs.sparkSession)
     names = list(prototypes)
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, SIZE), np.float32)
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, small_batches
 
 SEED, WORDS, RADIUS = 42, 3, 2
 #: Shards of more fingerprints are split by the bits that remain.
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
@@ -256,4 +257,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, as it is: the one with the smallest doc_id. Rows equal in all columns are copies too: one stays."""
     marked = near_duplicates(docs)
     kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates()
+    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates()

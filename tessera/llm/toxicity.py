@@ -17,14 +17,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import remainder, sampled
+from tessera.llm.common import remainder, sampled, small_batches
 
 #: Labelled rows that the classifier is fitted on, and features that it keeps: its bound in memory.
 MAX_TRAIN, MAX_FEATURES = 20_000, 200_000
@@ -33,7 +35,7 @@ MIN_Z, PRIOR, DRIFT, MAX_EXPECTED = 4.0, 0.1, 0.25, 0.05
 #: Lengths of the word prefixes that stand in for unseen words.
 PREFIXES = (4, 5, 6)
 #: Words that one Python worker remembers.
-CACHE = 500_000
+CACHE = 200_000
 #: A text's words: runs of letters; Java's and Python's patterns for the same runs.
 JAVA_SPLIT, WORD = r"[^\p{L}]+", re.compile(r"[^\W\d_]+")
 
@@ -218,6 +220,7 @@ def _calibrate(model: Model, texts: DataFrame, n0: int) -> None:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, passages: array of struct(first, last, score, expected), words counted from 0."""
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES features
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
@@ -243,14 +246,13 @@ def held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, as they are, that are not predicted toxic. Rows are judged one by one, without a join."""
-    model = fit(docs, labels)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    small_batches(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
-    def run(batches):
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[str, float] = {}
-        for batch in batches:
-            kept = [shipped.value.probability(evidence(passages(shipped.value, t.as_py(), cache)[1])) < 0.5 for t in batch.column(at)]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+        for part in texts:
+            yield pd.Series([shipped.value.probability(evidence(passages(shipped.value, t, cache)[1])) < 0.5 for t in part], dtype=bool)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(clean(F.col("text")))
