@@ -37,12 +37,9 @@ def trail(rows: DataFrame, level: Column, text: Column, keys: list[str], order:
     A heading closes those of its level and deeper. With gap, places of levels that were skipped hold empty texts (so the
     trail's length is the level of its last heading), else they are left out."""
     w = _order(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("level__", level).withColumn("text__", text)
-    names = []
-    for k in range(1, levels + 1):
-        seen = F.last(F.when(F.col("level__") == k, F.struct(F.col(order).alias("at"), F.col("text__").alias("text"))), ignorenulls=True).over(w)
-        rows = rows.withColumn(f"h{k}__", seen)
-        names.append(f"h{k}__")
+    rows = rows.withColumns({"level__": level, "text__": text})
+    names = [f"h{k}__" for k in range(1, levels + 1)]
+    rows = rows.withColumns({name: F.last(F.when(F.col("level__") == k, F.struct(F.col(order).alias("at"), F.col("text__").alias("text"))), ignorenulls=True).over(w) for k, name in enumerate(names, 1)})
     live = []
     for k, name in enumerate(names):
         above = [F.coalesce(F.col(n)["at"], F.lit(-1)) for n in names[:k]]
