@@ -181,7 +181,8 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs with the deleted lines taken out of text, and column `gone` with their number."""
     gone = gone.select(F.col("doc_id").alias("gone__id"), F.col("th").alias("gone__th"), F.col("gone").alias("gone__lines"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone__th"]), "left")
+    # the texts are shuffled at any size, so that the plan doesn't turn where the deletions outgrow a broadcast
+    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["gone__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone__th"]), "left")
     lines = F.split("text", "\n", -1)
     # gone is ascending: the lines between two deleted ones are slices
     pieces = F.flatten(
