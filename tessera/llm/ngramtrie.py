@@ -8,7 +8,8 @@ ratio of the unigram's to the bigram's weight, to the shard of the pair. A shard
 documents, builds a trie of two levels from them (contexts; successors below each context; monotone pointers between;
 quantised counts) in one compact buffer, finds the chunks' pairs by searching the context and then the successor
 relative to it, and returns to each chunk what its documents gain over the unigram term. All pairs of a context need not
-meet: c(u) comes with the word counts, so frequent contexts are spread over all shards.
+meet: c(u) comes with the word counts, so frequent contexts are spread over all shards. A pair that is frequent in a chunk
+goes to its shard once, as a number, and its count comes back to the chunk, which kept the places.
 
 Tokens: words between ASCII white space, A-Z lower-cased, then one end. Nulls: a null text is the empty text (one token,
 the end). A null doc_id is learned from as the empty id is. Equal rows get equal results. Without training tokens N and V
@@ -18,6 +19,7 @@ are 0 and every token has p1 = 1. An empty table gives an empty result. Other co
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,10 @@ CHUNK, CHUNK_BYTES, SHARD_TOKENS = 256, 4 << 20, 2_500_000
 TOP, FALL = 0.95, 0.1
 #: Steps of the logarithm to base 2 of quantised values: 8 a doubling.
 STEPS = 8
-END, START = xxhash.xxh64_intdigest(b"\0end"), xxhash.xxh64_intdigest(b"\0start")
+#: Hashes of what no word can be, as it has a blank.
+END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")
+#: Occurrences in a chunk from which a pair counts as frequent there.
+FREQUENT = 16
 HALF = np.uint64(24)
 MASK = np.uint64((1 << 24) - 1)
 
@@ -233,9 +238,9 @@ def _chunk_rows(chunk: int, ids, texts: list[np.ndarray], train: np.ndarray, cou
     weight = np.where(before > 0, TOP * np.maximum(before, 1.0) ** -FALL, 1.0)
     document = np.repeat(np.arange(len(texts)), size)
     sums = lambda x: np.bincount(document, x, len(texts))
-    yield {
+    own = {
         "shard": -1 - chunk % shards, "chunk": chunk, "ids": ids, "sizes": size.tolist(), "known": sums(count > 0).astype(np.int64).tolist(),
-        "base": sums(base).tolist(), "plain": sums(base + np.log10(weight)).tolist(), "pairs": None, "documents": None, "ratios": None, "train": None,
+        "base": sums(base).tolist(), "plain": sums(base + np.log10(weight)).tolist(),
     }
     # a pair can have been learned only if its context and its word were
     seen = (before > 0) & (count > 0)
@@ -246,35 +251,63 @@ def _chunk_rows(chunk: int, ids, texts: list[np.ndarray], train: np.ndarray, cou
     code = np.clip(np.round(STEPS * ratio / 2) + 160, 0, 255).astype(np.uint8)
     order = np.lexsort((number, shard))
     shard, number, document, code = shard[order], number[order], document[order].astype(np.uint8), code[order]
-    cuts = np.searchsorted(shard, np.arange(shards + 1))
+    first = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (shard[1:] != shard[:-1])]) if len(number) else np.zeros(0, np.int64)
+    times = np.diff(np.r_[first, len(number)])
+    many = times >= FREQUENT
+    often = np.repeat(many, times)
+    heads, lengths = first[many], times[many]
+    learned = np.add.reduceat(train[document].astype(np.int64), first)[many] if len(first) else np.zeros(0, np.int64)
+    own |= {"pairs": number[heads].tobytes(), "counts": np.stack([shard[heads], lengths]).tobytes(), "documents": document[often].tobytes(), "ratios": code[heads].tobytes(), "train": None}
+    yield own
+    often_shard, often_number = shard[heads], number[heads]
+    shard, number, document, code = shard[~often], number[~often], document[~often], code[~often]
+    cuts, often_cuts = np.searchsorted(shard, np.arange(shards + 1)), np.searchsorted(often_shard, np.arange(shards + 1))
     flags = np.packbits(train).tobytes()
     for s in range(shards):
-        a, b = cuts[s], cuts[s + 1]
-        if a < b:
+        a, b, c, d = cuts[s], cuts[s + 1], often_cuts[s], often_cuts[s + 1]
+        if a < b or c < d:
             yield {
-                "shard": s, "chunk": chunk, "ids": None, "sizes": None, "known": None, "base": None, "plain": None,
-                "pairs": EliasFano.pack(number[a:b]), "documents": document[a:b].tobytes(), "ratios": code[a:b].tobytes(), "train": flags,
+                "shard": s, "chunk": chunk, "ids": None, "sizes": None, "known": None, "base": None, "plain": None, "pairs": EliasFano.pack(number[a:b]),
+                "counts": np.stack([often_number[c:d], learned[c:d].astype(np.uint64)]).tobytes(), "documents": document[a:b].tobytes(), "ratios": code[a:b].tobytes(), "train": flags,
             }
 
 
+def _gain(found: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """log10 of how much likelier a pair is by its count than by its word alone."""
+    return np.log10(1 + found / 2 ** ((code.astype(float) - 160) * 2 / STEPS))
+
+
 def _gains(rows: list[dict]):
-    """For each chunk of a shard what its documents gain."""
+    """For each chunk of a shard what its documents gain, and the counts of its frequent pairs."""
     pairs = [EliasFano(r["pairs"]).values() for r in rows]
     documents = [np.frombuffer(r["documents"], np.uint8) for r in rows]
+    often = [np.frombuffer(r["counts"], np.uint64).reshape(2, -1) for r in rows]
     learned = [p[np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)[d]] for p, d, r in zip(pairs, documents, rows, strict=True)]
-    distinct, counts = np.unique(np.concatenate(learned), return_counts=True)
-    trie = Trie(Trie.build(distinct, counts))
+    numbers = np.concatenate([*learned, *(o[0] for o in often)])
+    distinct, counts = _unique_sums(numbers, np.concatenate([np.ones(sum(map(len, learned)), np.int64), *(o[1].astype(np.int64) for o in often)]))
+    there = counts > 0
+    trie = Trie(Trie.build(distinct[there], counts[there]))
     for at in range(0, len(rows), 64):
         part = range(at, min(at + 64, len(rows)))
-        asked, where = np.unique(np.concatenate([pairs[k] for k in part]), return_inverse=True)
+        asked, where = np.unique(np.concatenate([*(pairs[k] for k in part), *(often[k][0] for k in part)]), return_inverse=True)
         found = trie.counts(asked)[where]
-        code = np.concatenate([np.frombuffer(rows[k]["ratios"], np.uint8) for k in part]).astype(float)
-        gain = np.log10(1 + found / 2 ** ((code - 160) * 2 / STEPS))
         end = 0
+        light = sum(len(pairs[k]) for k in part)
         for k in part:
-            size = len(pairs[k])
-            yield rows[k]["chunk"], np.bincount(documents[k], gain[end : end + size], CHUNK).astype(np.float32)
-            end += size
+            size, more = len(pairs[k]), len(often[k][0])
+            gain = _gain(found[end : end + size], np.frombuffer(rows[k]["ratios"], np.uint8))
+            back = found[light : light + more]
+            yield rows[k]["chunk"], np.bincount(documents[k], gain, CHUNK).astype(np.float32), often[k][0], back
+            end, light = end + size, light + more
+
+
+def _own_gains(row: dict, found: dict[tuple[int, int], float], n: int) -> np.ndarray:
+    """What the documents of a chunk gain by its frequent pairs, whose places its own row has."""
+    numbers = np.frombuffer(row["pairs"], np.uint64)
+    shard, lengths = np.frombuffer(row["counts"], np.int64).reshape(2, -1)
+    counts = np.array([found[s, k] for s, k in zip(shard.tolist(), numbers.tolist(), strict=True)])
+    gain = np.repeat(_gain(counts, np.frombuffer(row["ratios"], np.uint8)), lengths) if len(counts) else counts
+    return np.bincount(np.frombuffer(row["documents"], np.uint8), gain, n)
 
 
 def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
@@ -288,8 +321,8 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
     counted = word_counts(plain, scratch, shards)
     total, types = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum((F.octet_length("words") / 8).cast("long"))).first())
     fields = [("shard", pa.int32()), ("chunk", pa.int64()), ("ids", None), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("plain", pa.list_(pa.float64()))]
-    fields += [(name, pa.binary()) for name in ("pairs", "documents", "ratios", "train")]
-    schema = f"shard int, chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, pairs binary, documents binary, ratios binary, train binary"
+    fields += [(name, pa.binary()) for name in ("pairs", "counts", "documents", "ratios", "train")]
+    schema = f"shard int, chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, pairs binary, counts binary, documents binary, ratios binary, train binary"
 
     def chunks(batches, counts_of):
         """Rows of each chunk of documents; a chunk's number is its task's and its place there."""
@@ -321,19 +354,22 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
     else:
         sent = _joined(plain, counted, shards).mapInArrow(lambda batches: chunks(batches, _own_counts), schema)
 
+    kept = ["chunk", "ids", "sizes", "known", "base", "plain", "pairs", "counts", "documents", "ratios"]
+    names = ["shard", *kept, "gains"]
+    types_ = dict(fields) | {"gains": pa.binary(), "ids": pa.list_(_arrow(kind))}
+
     def answer(batches):
-        empty = lambda chunk, gains: {"chunk": chunk, "ids": None, "sizes": None, "known": None, "base": None, "plain": None, "gains": gains.tobytes()}
         for rows in _grouped(batches, "shard"):
             if rows[0]["shard"] < 0:
-                out = [{name: r[name] for name in ("chunk", "ids", "sizes", "known", "base", "plain")} | {"gains": None} for r in rows]
+                out = ({"shard": r["shard"], "gains": None} | {name: r[name] for name in kept} for r in rows)
             else:
-                out = [empty(chunk, gains) for chunk, gains in _gains(rows)]
-            for at in range(0, len(out), 256):
-                names = ["chunk", "ids", "sizes", "known", "base", "plain", "gains"]
-                types_ = dict(fields) | {"gains": pa.binary(), "ids": pa.list_(_arrow(kind))}
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out[at : at + 256]], types_[n]) for n in names], names=names)
+                out = ({"shard": rows[0]["shard"], "gains": g.tobytes(), "chunk": chunk, "pairs": number.tobytes(), "counts": back.tobytes()} for chunk, g, number, back in _gains(rows))
+            while part := list(islice(out, 256)):
+                yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in part], types_[n]) for n in names], names=names)
 
-    answered = sent.repartition(shards, "shard").sortWithinPartitions("shard", "chunk").mapInArrow(answer, f"chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, gains binary")
+    answered = sent.repartition(shards, "shard").sortWithinPartitions("shard", "chunk").mapInArrow(
+        answer, f"shard int, chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, pairs binary, counts binary, documents binary, ratios binary, gains binary"
+    )
 
     def finish(batches):
         for rows in _grouped(batches, "chunk"):
@@ -341,10 +377,12 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
             if len(own) != 1:
                 raise ValueError("a chunk of documents was split between attempts of a task: run the query again")
             n = len(own[0]["ids"])
-            gain = np.zeros(CHUNK)
-            for gains in sorted(r["gains"] for r in rows if r["gains"] is not None):  # in a fixed order, for equal sums
-                gain += np.frombuffer(gains, np.float32)
-            columns = [pa.array(own[0]["ids"], _arrow(kind)), pa.array(own[0]["sizes"], pa.int64()), pa.array(own[0]["known"], pa.int64()), pa.array(own[0]["base"], pa.float64()), pa.array((np.array(own[0]["plain"]) + gain[:n]).tolist(), pa.float64())]
+            gain, found = np.zeros(CHUNK), {}
+            for r in sorted((r for r in rows if r["ids"] is None), key=lambda r: r["shard"]):  # in a fixed order, for equal sums
+                gain += np.frombuffer(r["gains"], np.float32)
+                found |= zip(((r["shard"], k) for k in np.frombuffer(r["pairs"], np.uint64).tolist()), np.frombuffer(r["counts"], np.float64).tolist(), strict=True)
+            total_gain = gain[:n] + _own_gains(own[0], found, n)
+            columns = [pa.array(own[0]["ids"], _arrow(kind)), pa.array(own[0]["sizes"], pa.int64()), pa.array(own[0]["known"], pa.int64()), pa.array(own[0]["base"], pa.float64()), pa.array((np.array(own[0]["plain"]) + total_gain).tolist(), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     done = answered.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
