@@ -35,19 +35,25 @@ def shingle_hashes(hashed: Column) -> Column:
     return F.when(F.size(hashed) >= WORDS, each).when(F.size(hashed) > 0, F.array(F.xxhash64(hashed))).otherwise(F.array().cast("array<bigint>"))
 
 
-def kept(hashes: Column, scale: int = SCALE) -> Column:
-    """The sketch of shingle hashes: ascending, as unsigned numbers below the threshold are all positive; the least hash, by the same unsigned order, stands in for none."""
-    below = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - scale) == 0)))
-    least = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(-(1 << 63))))).bitwiseXOR(F.lit(-(1 << 63)))
-    return F.when((F.size(below) > 0) | (F.size(hashes) == 0), below).otherwise(F.array(least))
+def below(hashes: Column, scale: int = SCALE) -> Column:
+    """The distinct hashes below the threshold; as unsigned numbers they are all positive."""
+    return F.array_distinct(F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - scale) == 0))
+
+
+def kept(found: Column, hashes: Column) -> Column:
+    """The sketch of shingle hashes from those below the threshold, ascending; the least hash, by the unsigned order, stands in for none."""
+    flip = F.lit(-(1 << 63))
+    least = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(flip))).bitwiseXOR(flip)
+    return F.when((F.size(found) > 0) | (F.size(hashes) == 0), F.sort_array(found)).otherwise(F.array(least))
 
 
 def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE) -> DataFrame:
     """df with column out, the sketch of the texts in a column. Each step is a projection of its own, so that no step is computed twice."""
-    a, b = f"{out}__words", f"{out}__shingles"
+    a, b, c = f"{out}__words", f"{out}__shingles", f"{out}__below"
     df = df.withColumn(a, word_hashes(F.coalesce(text, F.lit(""))))
     df = df.withColumn(b, shingle_hashes(F.col(a))).drop(a)
-    return df.withColumn(out, kept(F.col(b), scale)).drop(b)
+    df = df.withColumn(c, below(F.col(b), scale))
+    return df.withColumn(out, kept(F.col(c), F.col(b))).drop(b, c)
 
 
 def resemblance(a: Column, b: Column) -> Column:
@@ -63,7 +69,8 @@ def containment(a: Column, b: Column) -> Column:
 
 def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    return kept(F.array_union(a, b), scale)
+    both = F.array_union(a, b)
+    return kept(below(both, scale), both)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
