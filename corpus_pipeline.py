@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, linededup, simhash, toxicity
+from tessera.llm import bpe, decontaminate, linededup, nearcopies, toxicity
 from tessera.llm.common import Scratch, small, table
 
 
@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return nearcopies.keep_first(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
