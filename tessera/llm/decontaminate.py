@@ -10,7 +10,8 @@ The counts that tell which word is rare cover all documents. The postings are th
 keeps them small against the corpus. Tables whose size follows the benchmark are counted first and joined by broadcast
 up to a bound of rows, else by shuffle.
 
-Nulls: a null text has no words; a null item_id is the text 'null' in lists of items. Documents of equal id are judged
+Nulls: a null text has no words; a null item_id is the text 'null' in lists of items. Each of several texts
+under one item_id, or under none, is looked up by itself. Documents of equal id are judged
 row by row. Repeated items count once. Without benchmark items nothing is hit. Empty and very long texts are treated
 alike. An empty table gives an empty result. Other columns are not read.
 """
@@ -33,10 +34,12 @@ def words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """(item string, words array, start int, size int): the windows of distinct items."""
+    """(item string, text_key long: the hash of id and words, words array, start int, size int): the windows of distinct items.
+
+    Items are told apart by text_key: rows of one id, or of none, may have different texts."""
     plain = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), words(F.col("text")).alias("words")).where("size(words) > 0").distinct()
     size = F.least(F.size("words"), F.lit(n))
-    return plain.select("item", "words", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("start"))
+    return plain.select("item", F.xxhash64("item", "words").alias("text_key"), "words", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("start"))
 
 
 def frequencies(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -45,17 +48,17 @@ def frequencies(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def anchors(found: DataFrame, counts: DataFrame) -> DataFrame:
-    """(word, item, first, second, offset, role): for each window its rarest and second rarest word, the first of equals.
+    """(word, text_key, first, second, offset, role): for each window its rarest and second rarest word, the first of equals.
 
     first and second are the words' offsets in the item and name the pair; role is 1 or 2. A window of one word is its own second."""
-    each = found.select("item", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("size"))).alias("at", "word"))
-    each = each.join(small(counts), "word", "left").select("item", "start", F.struct(F.coalesce("n", F.lit(0)).alias("n"), (F.col("start") + F.col("at")).alias("offset"), "word").alias("x"))
-    order = each.groupBy("item", "start").agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2).alias("x"))
+    each = found.select("text_key", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("size"))).alias("at", "word"))
+    each = each.join(small(counts), "word", "left").select("text_key", "start", F.struct(F.coalesce("n", F.lit(0)).alias("n"), (F.col("start") + F.col("at")).alias("offset"), "word").alias("x"))
+    order = each.groupBy("text_key", "start").agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2).alias("x"))
     # a window with a word that the corpus lacks can't occur
-    pair = order.where(F.col("x")[0]["n"] > 0).select("item", F.col("x")[0].alias("a"), F.coalesce(F.get("x", F.lit(1)), F.col("x")[0]).alias("b"))
-    pair = pair.select("item", F.col("a.offset").alias("first"), F.col("b.offset").alias("second"), "a", "b").distinct()
+    pair = order.where(F.col("x")[0]["n"] > 0).select("text_key", F.col("x")[0].alias("a"), F.coalesce(F.get("x", F.lit(1)), F.col("x")[0]).alias("b"))
+    pair = pair.select("text_key", F.col("a.offset").alias("first"), F.col("b.offset").alias("second"), "a", "b").distinct()
     roles = F.array(F.struct(F.col("a.word").alias("word"), F.col("first").alias("offset"), F.lit(1).alias("role")), F.struct(F.col("b.word").alias("word"), F.col("second").alias("offset"), F.lit(2).alias("role")))
-    return pair.select("item", "first", "second", F.explode(roles).alias("r")).select("r.word", "item", "first", "second", "r.offset", "r.role")
+    return pair.select("text_key", "first", "second", F.explode(roles).alias("r")).select("r.word", "text_key", "first", "second", "r.offset", "r.role")
 
 
 def postings(docs: DataFrame, of: DataFrame) -> DataFrame:
@@ -64,10 +67,10 @@ def postings(docs: DataFrame, of: DataFrame) -> DataFrame:
 
 
 def diagonals(places: DataFrame) -> DataFrame:
-    """(row_key, item, shift): where the offset-adjusted lists of a window's two rarest words meet."""
-    lists = places.select("row_key", "item", (F.col("at") - F.col("offset")).alias("shift"), "first", "second", "role")
-    met = lists.groupBy("row_key", "item", "shift", "first", "second").agg(F.bit_or("role").alias("roles")).where("roles = 3")
-    return met.select("row_key", "item", "shift").distinct()
+    """(row_key, text_key, shift): where the offset-adjusted lists of a window's two rarest words meet."""
+    lists = places.select("row_key", "text_key", (F.col("at") - F.col("offset")).alias("shift"), "first", "second", "role")
+    met = lists.groupBy("row_key", "text_key", "shift", "first", "second").agg(F.bit_or("role").alias("roles")).where("roles = 3")
+    return met.select("row_key", "text_key", "shift").distinct()
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -83,8 +86,8 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     vocabulary = scratch.cut(found.select(F.explode("words").alias("word")).distinct())
     counts = scratch.cut(frequencies(base, vocabulary))
     index = scratch.cut(anchors(found, counts))
-    texts = found.groupBy("item").agg(F.first("words").alias("item_words"))
-    per_row = diagonals(postings(base, index)).join(small(texts, 10_000), "item").groupBy("row_key").agg(F.collect_list(F.struct("item", "shift", "item_words")).alias("candidates"))
+    texts = found.select("text_key", "item", F.col("words").alias("item_words")).distinct()
+    per_row = diagonals(postings(base, index)).join(small(texts, 10_000), "text_key").groupBy("row_key").agg(F.collect_list(F.struct("item", "shift", "item_words")).alias("candidates"))
     candidates = scratch.cut(per_row).select(F.col("row_key").alias("key"), "candidates")
     # the texts are shuffled at any size, not their words, which take more room
     joined = base.join(candidates.hint("merge"), base["row_key"].eqNullSafe(candidates["key"]), "left").select("doc_id", "candidates", words(F.col("text")).alias("words"))
@@ -114,10 +117,10 @@ def proximity(docs: DataFrame, items: DataFrame, within: int = 20, n: int = WIND
     base = keyed(docs)
     found = scratch.cut(windows(items, n))
     counts = scratch.cut(frequencies(base, scratch.cut(found.select(F.explode("words").alias("word")).distinct())))
-    index = scratch.cut(anchors(found, counts)).where("role = 1").select("word", "item", "offset").distinct()
-    near = postings(base, index).select("row_key", "item", "offset", "at").distinct()
-    window = found.select("item", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("asked"))
-    near = near.join(small(window, 100_000), "item").where("offset >= start and offset < start + size")
+    index = scratch.cut(anchors(found, counts)).where("role = 1").select("word", "text_key", "offset").distinct()
+    near = postings(base, index).select("row_key", "text_key", "offset", "at").distinct()
+    window = found.select("text_key", "item", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("asked"))
+    near = near.join(small(window, 100_000), "text_key").where("offset >= start and offset < start + size")
     held = near.groupBy("row_key").agg(F.collect_list(F.struct("item", "start", "at", "asked")).alias("near"))
     row = base.select("doc_id", F.col("row_key").alias("key"), words(F.col("text")).alias("words"))
     around = lambda x: F.slice("words", F.greatest(x["at"] - within, F.lit(0)) + 1, 2 * within + 1)
