@@ -6,7 +6,8 @@ that share a seed's hash overlap. A seed's rows are not paired with each other:
 that has the seed, so pairs grow with the documents, however common a passage is, and no partner is dropped, as the first
 document has the block too. A pair's lines are aligned by patience diff (unique common lines in longest increasing order,
 recursively between them, and common heads and tails), again on what is left as long as that finds blocks, so that
-blocks in another order are found too. Aligned blocks of enough words are deleted from the later document.
+blocks in another order are found too; at last, lines of shared runs that short lines in another order kept from aligning
+are taken too. Blocks of enough words are deleted from the later document.
 
 A line is compared with white space at its ends trimmed and inner runs as one blank. Order is by doc_id. Rows of one
 doc_id with different texts are told apart by the text's hash, the smaller first; rows equal in both keep the same text.
@@ -40,8 +41,8 @@ def sequences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), kept.alias("lines"))
 
 
-def seed_hashes(words: list[int], hashes: list[int], least: int) -> list[int]:
-    """The hash of each shortest run of lines that has enough words, one for each start that has such a run."""
+def seed_runs(words: list[int], hashes: list[int], least: int) -> list[tuple[int, int, int]]:
+    """(hash, start, end) of each shortest run of lines that has enough words, one for each start that has such a run."""
     out, total, to = [], 0, 0
     for start in range(len(words)):
         while to < len(words) and total < least:
@@ -52,11 +53,38 @@ def seed_hashes(words: list[int], hashes: list[int], least: int) -> list[int]:
         value = 0
         for h in hashes[start:to]:
             value = (value * 0x9E3779B97F4A7C15 + h + (value >> 29)) & 0xFFFFFFFFFFFFFFFF
-        out.append(value - (1 << 64) if value >> 63 else value)
+        out.append((value - (1 << 64) if value >> 63 else value, start, to))
         total -= words[start]
     return out
 
 
+def seed_hashes(words: list[int], hashes: list[int], least: int) -> list[int]:
+    """The hashes of the seed runs."""
+    return [x for x, _, _ in seed_runs(words, hashes, least)]
+
+
+def shared_runs(later: list[int], words: list[int], earlier: list[int], least: int) -> set[int]:
+    """Positions of the later document's lines in runs of enough words that the earlier one has anywhere.
+
+    A line of such a run lies in the shortest run of enough words from it on, in the one that ends with it, or, if both are
+    too short, in the one from the run's first line on: seeds read forwards and backwards cover the run."""
+    size = dict(zip(later, words, strict=True))
+    parts: list[list[int]] = [[]]
+    for x in earlier:
+        if x in size:
+            parts[-1].append(x)
+        elif parts[-1]:
+            parts.append([])
+    mask = (1 << 64) - 1
+    found: set[int] = set()
+    for step in (1, -1):
+        known = {h for part in parts for h in seed_hashes([size[x] for x in part[::step]], [x & mask for x in part[::step]], least)}
+        for h, start, end in seed_runs(words[::step], [x & mask for x in later[::step]], least) if known else ():
+            if h in known:
+                found.update(range(start, end) if step == 1 else range(len(later) - end, len(later) - start))
+    return found
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of equal elements, increasing in both."""
     found: list[tuple[int, int]] = []
@@ -112,7 +140,10 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(later: list[int], words: list[int], earlier: list[int], least: int) -> list[int]:
-    """Positions of the later document's lines in aligned common blocks of enough words; alignment goes on over what is left until it finds none."""
+    """Positions of the later document's lines in common blocks of enough words.
+
+    Alignment goes on over what is left until it finds none. Short lines in another order can win an alignment and cross or
+    split a block; the lines of every run that the two share are therefore taken at last."""
     gone: set[int] = set()
     at = list(range(len(later)))
     known = set(earlier)
@@ -129,7 +160,7 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], least:
                 blocks.append([(i, j)])
         fresh = {i for block in blocks if sum(words[i] for i, _ in block) >= least for i, _ in block}
         if not fresh:
-            return sorted(gone)
+            return sorted(gone | shared_runs(later, words, earlier, least))
         gone |= fresh
 
 
