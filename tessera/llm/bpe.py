@@ -41,6 +41,14 @@ WHITE_SPACE = [0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000,
 # Letters that make a contraction with the apostrophe before them.
 ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 
+# Letters and numbers of Unicode 16, which the library's pattern knows, that databases before it lack.
+LETTERS_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B),
+    (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NUMBERS_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+
 LETTER, NUMBER, OTHER, SPACE = range(4)
 # Symbols: a class, or with look-ahead: white space before more of it or the end; the last white space of a run that
 # is no plain blank; the last that is one; an apostrophe before a contraction of one or two letters; a text's end.
@@ -69,11 +77,14 @@ _classes: np.ndarray | None = None
 
 
 def classes() -> np.ndarray:
-    """The class of every code point, from its general category."""
+    """The class of every code point, from its general category by Unicode 16."""
     global _classes
     if _classes is None:
         kinds = {"L": LETTER, "N": NUMBER}
         _classes = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+        for ranges, kind in ((LETTERS_16, LETTER), (NUMBERS_16, NUMBER)):
+            for first, last in ranges:
+                _classes[first : last + 1] = kind
         _classes[WHITE_SPACE] = SPACE
     return _classes
 
