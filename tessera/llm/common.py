@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import string
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,21 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (a local session), a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (a session without a cluster), the warehouse, which they share too."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 class Scratch:
-    """Tables written to the shared folder to cut lineage; drop() deletes those that no plan reads any more."""
+    """Tables written to the shared folder to cut lineage; drop() deletes those that no plan reads any more, and all go when the driver's Python ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.made = spark, f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}", 0
+        atexit.register(self._clean)
 
     def cut(self, df: DataFrame) -> DataFrame:
         """df as written and read again: a lost executor costs a reread, not a recomputation."""
@@ -41,10 +38,16 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *numbers: int) -> None:
-        jvm = self.spark.sparkContext._jvm
         for n in numbers:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(f"{self.root}/{n}")
+
+    def _delete(self, name: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _clean(self) -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            self._delete(self.root)
 
 
 def fold(text: Column) -> Column:
@@ -67,13 +70,27 @@ def sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
 
 
-#: Rows of a side that may be broadcast, once they have been counted.
-BROADCAST_ROWS = 500_000
+#: Bytes of a side that may be broadcast, once they have been measured.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured(df: DataFrame) -> int:
+    """About the bytes of df's rows in memory: 16 for each value, 8 for each element of an array, and the bytes of its text."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind == "array<string>":
+            size = size + F.coalesce(F.octet_length(F.array_join(f.name, "........")), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 8 * F.greatest(F.size(f.name), F.lit(0))
+    return int(df.agg(F.sum(size)).first()[0] or 0)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if it was counted to have at most that many rows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for broadcast if its rows were measured to have at most that many bytes; else as it is, for a shuffled join with the same rows. df is read once more: a written table."""
+    return F.broadcast(df) if measured(df) <= most else df
 
 
 #: Bytes of an Arrow batch that goes to a Python worker, and the setting's default, which is replaced.

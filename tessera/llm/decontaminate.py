@@ -7,8 +7,8 @@ where the window has one, and on each the words are compared, which gives the ex
 the window's words within a distance instead.
 
 The counts that tell which word is rare cover all documents. The postings are those of the rarest words only, which
-keeps them small against the corpus. Tables whose size follows the benchmark are counted first and joined by broadcast
-up to a bound of rows, else by shuffle.
+keeps them small against the corpus. Tables whose size follows the benchmark are measured first and joined by broadcast
+up to a bound of bytes, else by shuffle; the rows are the same.
 
 Nulls: a null text has no words; a null item_id is the text 'null' in lists of items. Each of several texts
 under one item_id, or under none, is looked up by itself. Documents of equal id are judged
@@ -74,23 +74,23 @@ def diagonals(places: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """docs with row_key: the id with the text's hash, so that rows of equal id but different text stay apart."""
-    return docs.select("doc_id", "text", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).alias("row_key"))
+    """docs as (doc_id, text, row_key, carried): row_key is the id with the text's hash, so that rows of equal id but different text stay apart; carried is the whole row, whatever its columns are named."""
+    return docs.select("doc_id", "text", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).alias("row_key"), F.struct(*docs.columns).alias("carried"))
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """doc_id, n_words long, hits array<int> (positions of hit words, ascending), items array<string> (items with occurring windows), for every row of docs."""
+    """doc_id, n_words long, hits array<int> (positions of hit words, ascending), items array<string> (items with occurring windows) and carried (the row of docs), for every row of docs."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     base = keyed(docs)
     found = scratch.cut(windows(items, n))
     vocabulary = scratch.cut(found.select(F.explode("words").alias("word")).distinct())
     counts = scratch.cut(frequencies(base, vocabulary))
     index = scratch.cut(anchors(found, counts))
-    texts = found.select("text_key", "item", F.col("words").alias("item_words")).distinct()
-    per_row = diagonals(postings(base, index)).join(small(texts, 10_000), "text_key").groupBy("row_key").agg(F.collect_list(F.struct("item", "shift", "item_words")).alias("candidates"))
+    texts = scratch.cut(found.select("text_key", "item", F.col("words").alias("item_words")).distinct())
+    per_row = diagonals(postings(base, index)).join(small(texts), "text_key").groupBy("row_key").agg(F.collect_list(F.struct("item", "shift", "item_words")).alias("candidates"))
     candidates = scratch.cut(per_row).select(F.col("row_key").alias("key"), "candidates")
     # the texts are shuffled at any size, not their words, which take more room
-    joined = base.join(candidates.hint("merge"), base["row_key"].eqNullSafe(candidates["key"]), "left").select("doc_id", "candidates", words(F.col("text")).alias("words"))
+    joined = base.join(candidates.hint("merge"), base["row_key"].eqNullSafe(candidates["key"]), "left").select("doc_id", "candidates", words(F.col("text")).alias("words"), "carried")
 
     def occurring(x: Column) -> Column:
         """Starts, in the document, of the item's windows that occur on this diagonal."""
@@ -99,8 +99,8 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
         fits = lambda s: (x["shift"] + s >= 0) & (F.slice("words", F.greatest(x["shift"] + s, F.lit(0)) + 1, size) == F.slice(x["item_words"], s + 1, size))
         return F.transform(F.filter(starts, fits), lambda s: F.struct((x["shift"] + s).alias("from"), (x["shift"] + s + size - 1).alias("to")))
 
-    judged = joined.select("doc_id", F.size("words").cast("long").alias("n_words"), F.transform("candidates", lambda x: F.struct(x["item"].alias("item"), occurring(x).alias("spans"))).alias("found"))
-    kept = judged.select("doc_id", "n_words", F.filter("found", lambda x: F.size(x["spans"]) > 0).alias("found"))
+    judged = joined.select("doc_id", "carried", F.size("words").cast("long").alias("n_words"), F.transform("candidates", lambda x: F.struct(x["item"].alias("item"), occurring(x).alias("spans"))).alias("found"))
+    kept = judged.select("doc_id", "carried", "n_words", F.filter("found", lambda x: F.size(x["spans"]) > 0).alias("found"))
     hits = F.array_sort(F.array_distinct(F.flatten(F.transform(F.flatten(F.transform("found", lambda x: x["spans"])), lambda s: F.sequence(s["from"], s["to"])))))
     none = F.array().cast("array<int>")
     return kept.select(
@@ -108,9 +108,15 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
         "n_words",
         F.coalesce(hits, none).alias("hits"),
         F.coalesce(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item"]))), F.array().cast("array<string>")).alias("items"),
+        "carried",
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
+    """The rows of docs, as they are, in which no window of an item occurs. Each row is judged by its own text, whatever its doc_id."""
+    return matches(docs, items, n).where(F.size("hits") == 0).select("carried.*")
+
+
 def proximity(docs: DataFrame, items: DataFrame, within: int = 20, n: int = WINDOW) -> DataFrame:
     """(doc_id, item, start, at): windows of items all of whose words stand within `within` words of an occurrence, at position at, of the window's rarest word."""
     scratch = Scratch(docs.sparkSession, "proximity")
@@ -119,8 +125,8 @@ def proximity(docs: DataFrame, items: DataFrame, within: int = 20, n: int = WIND
     counts = scratch.cut(frequencies(base, scratch.cut(found.select(F.explode("words").alias("word")).distinct())))
     index = scratch.cut(anchors(found, counts)).where("role = 1").select("word", "text_key", "offset").distinct()
     near = postings(base, index).select("row_key", "text_key", "offset", "at").distinct()
-    window = found.select("text_key", "item", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("asked"))
-    near = near.join(small(window, 100_000), "text_key").where("offset >= start and offset < start + size")
+    window = scratch.cut(found.select("text_key", "item", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("asked")))
+    near = near.join(small(window), "text_key").where("offset >= start and offset < start + size")
     held = near.groupBy("row_key").agg(F.collect_list(F.struct("item", "start", "at", "asked")).alias("near"))
     row = base.select("doc_id", F.col("row_key").alias("key"), words(F.col("text")).alias("words"))
     around = lambda x: F.slice("words", F.greatest(x["at"] - within, F.lit(0)) + 1, 2 * within + 1)
