@@ -1,19 +1,21 @@
 """Line deduplication by pairwise alignment.
 
-A common block is a run of lines, blank ones left out, that two documents share and that has `MIN_WORDS` words or more.
-Every such block starts with a seed: the shortest run of lines from its first line on that has so many words. Documents
-that share a seed's hash overlap. A seed's rows are not paired with each other: each is paired with the first document
-that has the seed, so pairs grow with the documents, however common a passage is, and no partner is dropped, as the first
-document has the block too. A pair's lines are aligned by patience diff (unique common lines in longest increasing order,
-recursively between them, and common heads and tails), again on what is left as long as that finds blocks, so that
-blocks in another order are found too; at last, lines of shared runs that short lines in another order kept from aligning
-are taken too. Blocks of enough words are deleted from the later document.
+A common block is a run of lines, blank ones left out, that two documents share and that has enough words; how many is
+the caller's. Which documents overlap is told by line hashes: every shortest run of lines that has enough words, read
+forwards from its first line and backwards from its last, is a seed (a line of enough words is one by itself). A seed's
+rows are not paired with each other: each is paired with the first document that has the seed. So pairs grow with the
+documents' lines, however common a line or passage is, and no partner is dropped: each line of a block lies in a seed
+within the block, and the first holder of that seed has it. A pair's lines are aligned by patience diff (unique common
+lines in longest increasing order, recursively between them, and common heads and tails), again on what is left as long
+as that finds blocks, so that blocks in another order are found too; at last, lines of shared runs that short lines in
+another order kept from aligning are taken too. Aligned blocks of enough words are deleted from the later document.
+So, as a whole: a line goes if it lies in a run of enough words that any earlier document has.
 
 A line is compared with white space at its ends trimmed and inner runs as one blank. Order is by doc_id. Rows of one
 doc_id with different texts are told apart by the text's hash, the smaller first; rows equal in both keep the same text.
 Nulls: a null text stays null; a null doc_id comes before all others. Texts without a repeated block, and empty ones,
 stay as they are; what follows a deleted block keeps its line breaks. An empty table gives an empty result. Other
-columns are carried along; n_chars, if there, is recounted where lines went.
+columns are carried along, whatever their names; n_chars, if there, is recounted where lines went.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch
 
-#: Words of a block that is deleted, at least.
-MIN_WORDS = 50
+#: Words of a block that is deleted, at least, unless the caller says otherwise: fewer words recur by chance.
+MIN_WORDS = 10
 
 
 def normal(line: Column) -> Column:
@@ -41,33 +43,44 @@ def sequences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), kept.alias("lines"))
 
 
-def seed_runs(words: list[int], hashes: list[int], least: int) -> list[tuple[int, int, int]]:
-    """(hash, start, end) of each shortest run of lines that has enough words, one for each start that has such a run."""
-    out, total, to = [], 0, 0
-    for start in range(len(words)):
-        while to < len(words) and total < least:
+MASK = (1 << 64) - 1
+
+
+def run_hash(hashes: list[int]) -> int:
+    """A run's hash as a signed number; hashes unsigned, in the order of the lines."""
+    value = 0
+    for h in hashes:
+        value = (value * 0x9E3779B97F4A7C15 + h + (value >> 29)) & MASK
+    return value - (1 << 64) if value >> 63 else value
+
+
+def seed_runs(words: list[int], hashes: list[int], least: int) -> dict[tuple[int, int], int]:
+    """(start, end) -> hash of each shortest run of lines that has enough words: the one from each line on, and the one up to each line."""
+    n, spans, total, to = len(words), set(), 0, 0
+    for start in range(n):
+        while to < n and total < least:
             total += words[to]
             to += 1
         if total < least:
             break
-        value = 0
-        for h in hashes[start:to]:
-            value = (value * 0x9E3779B97F4A7C15 + h + (value >> 29)) & 0xFFFFFFFFFFFFFFFF
-        out.append((value - (1 << 64) if value >> 63 else value, start, to))
+        spans.add((start, to))
         total -= words[start]
-    return out
-
-
-def seed_hashes(words: list[int], hashes: list[int], least: int) -> list[int]:
-    """The hashes of the seed runs."""
-    return [x for x, _, _ in seed_runs(words, hashes, least)]
+    total, start = 0, n
+    for end in range(n, 0, -1):
+        while start > 0 and total < least:
+            start -= 1
+            total += words[start]
+        if total < least:
+            break
+        spans.add((start, end))
+        total -= words[end - 1]
+    return {(a, b): run_hash(hashes[a:b]) for a, b in spans}
 
 
 def shared_runs(later: list[int], words: list[int], earlier: list[int], least: int) -> set[int]:
     """Positions of the later document's lines in runs of enough words that the earlier one has anywhere.
 
-    A line of such a run lies in the shortest run of enough words from it on, in the one that ends with it, or, if both are
-    too short, in the one from the run's first line on: seeds read forwards and backwards cover the run."""
+    A line of such a run lies in the seed from it on, in the seed up to it, or, if both reach beyond the run, in the one from the run's first line on."""
     size = dict(zip(later, words, strict=True))
     parts: list[list[int]] = [[]]
     for x in earlier:
@@ -75,13 +88,11 @@ def shared_runs(later: list[int], words: list[int], earlier: list[int], least: i
             parts[-1].append(x)
         elif parts[-1]:
             parts.append([])
-    mask = (1 << 64) - 1
+    known = {h for part in parts for h in seed_runs([size[x] for x in part], [x & MASK for x in part], least).values()}
     found: set[int] = set()
-    for step in (1, -1):
-        known = {h for part in parts for h in seed_hashes([size[x] for x in part[::step]], [x & mask for x in part[::step]], least)}
-        for h, start, end in seed_runs(words[::step], [x & mask for x in later[::step]], least) if known else ():
-            if h in known:
-                found.update(range(start, end) if step == 1 else range(len(later) - end, len(later) - start))
+    for (start, end), h in seed_runs(words, [x & MASK for x in later], least).items() if known else ():
+        if h in known:
+            found.update(range(start, end))
     return found
 
 
@@ -108,13 +119,16 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
                 seen[b[j]] = -1 if b[j] in seen else j
         pairs = sorted((i, seen[x]) for x, i in once.items() if i >= 0 and seen.get(x, -1) >= 0)
         if not pairs:
-            # without a line that is unique in both, the first common line anchors, so that repeated lines align too
-            first = {}
-            for j in range(b1 - 1, b0 - 1, -1):
-                first[b[j]] = j
-            i = next((i for i in range(a0, a1) if a[i] in first), None)
-            if i is not None:
-                work.append((i, a1, first[a[i]], b1))
+            # without a line that is unique in both, each line takes its next place in the other, so that repeated lines align too
+            places: dict[int, list[int]] = {}
+            for j in range(b0, b1):
+                places.setdefault(b[j], []).append(j)
+            after = b0
+            for i in range(a0, a1):
+                at = bisect_left(mine, after) if (mine := places.get(a[i])) else 0
+                if mine and at < len(mine):
+                    found.append((i, mine[at]))
+                    after = mine[at] + 1
             continue
         tails: list[int] = []
         ends: list[int] = []
@@ -165,13 +179,13 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], least:
 
 
 def overlaps(seqs: DataFrame, scratch: Scratch, least: int) -> DataFrame:
-    """(doc_id, th, e_id, e_th): each document with the first document that has one of its seeds, where that is another; distinct."""
+    """(doc_id, th, e_id, e_th): each document with the first document of each of its seeds, where that is another; distinct."""
 
     def seeds(batches):
         for batch in batches:
             ids, ths, out, each = batch.column(0), batch.column(1), [], []
             for k, lines in enumerate(batch.column(2).to_pylist()):
-                found = list(set(seed_hashes([x["n"] for x in lines], [x["h"] & 0xFFFFFFFFFFFFFFFF for x in lines], least)))
+                found = list(set(seed_runs([x["n"] for x in lines], [x["h"] & MASK for x in lines], least).values()))
                 out += found
                 each += [k] * len(found)
             take = pa.array(each, pa.int64())
@@ -210,35 +224,29 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs with the deleted lines taken out of text, and column `gone` with their number."""
-    gone = gone.select(F.col("doc_id").alias("gone__id"), F.col("th").alias("gone__th"), F.col("gone").alias("gone__lines"))
+    """(row: struct of docs' columns, text: without the deleted lines, n_deleted long)."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
+    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), F.col("gone").alias("gone"))
     # the texts are shuffled at any size, so that the plan doesn't turn where the deletions outgrow a broadcast
-    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["gone__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone__th"]), "left")
-    lines = F.split("text", "\n", -1)
+    joined = rows.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
+    lines, n = F.split("text", "\n", -1), F.size("gone")
     # gone is ascending: the lines between two deleted ones are slices
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.size("gone__lines")),
-            lambda k: F.slice(
-                lines,
-                F.when(k == 0, 1).otherwise(F.element_at("gone__lines", F.greatest(k, F.lit(1))) + 2),
-                F.when(k == F.size("gone__lines"), F.size(lines)).otherwise(F.element_at("gone__lines", F.least(k + 1, F.size("gone__lines")))) - F.when(k == 0, 0).otherwise(F.element_at("gone__lines", F.greatest(k, F.lit(1))) + 1),
-            ),
-        )
-    )
-    text = F.when(F.col("gone__lines").isNull(), F.col("text")).otherwise(F.array_join(pieces, "\n"))
-    out = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("gone__lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.withColumn("gone__lines", F.coalesce(F.size("gone__lines"), F.lit(0)).cast("long")).drop("gone__id", "gone__th")
+    before = lambda k: F.when(k == 0, F.lit(-1)).otherwise(F.element_at("gone", F.greatest(k, F.lit(1))))
+    behind = lambda k: F.when(k == n, F.size(lines)).otherwise(F.element_at("gone", F.least(k + 1, n)))
+    pieces = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda k: F.slice(lines, before(k) + 2, behind(k) - before(k) - 1)))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(pieces, "\n"))
+    return joined.select("row", text.alias("text"), F.coalesce(n, F.lit(0)).cast("long").alias("n_deleted"))
 
 
 def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """docs, every row and column, with repeated blocks deleted from the later documents."""
-    return without(docs, deletions(docs, least)).select(*docs.columns)
+    now = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        now["n_chars"] = F.when(F.col("n_deleted") == 0, F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return without(docs, deletions(docs, least)).select(*(now.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def digests(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_lines, n_deleted, text_sha256 of the text that is left."""
     plain = docs.select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
-    return without(plain, deletions(docs, least)).select("doc_id", "n_lines", F.coalesce("gone__lines", F.lit(0)).alias("n_deleted"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    return without(plain, deletions(docs, least)).select("row.doc_id", "row.n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
