@@ -1,19 +1,21 @@
-"""Near copies by banded MinHash and exact similarity, for the corpus pipeline.
+"""Near copies by SimHash links, banded MinHash and exact similarity, for the corpus pipeline.
 
 Two texts are near copies if the sets of their shingles of `WORDS` words have a Jaccard similarity of `LEAST` or more;
-a text of fewer words is one shingle. Texts of equal words meet in one key first. Each key has `BANDS` bands of `ROWS`
-least hashes; keys that share a band's value are candidates, which loses a pair of similarity s with probability
-(1 - s**ROWS)**BANDS: 0.00008 at 0.8, less above. Every link is a pair whose sets were compared exactly.
+a text of fewer words is one shingle. Texts of equal words meet in one key first. Candidates are the links that the
+BK-trees of SimHash fingerprints find and, as texts of that similarity often differ in more bits than such trees can be
+searched for, the keys that share a band: each key has `BANDS` bands of `ROWS` least hashes, which loses a pair of
+similarity s with probability (1 - s**ROWS)**BANDS: 0.00008 at 0.8, less above. Every link is a pair whose sets were
+compared exactly.
 
 A bucket is the keys of one band's value. Up to `PAIRED` keys are all compared. In a larger one each key is compared with
-the key that has the most company in all its buckets (an original among its copies) and with the least key. Of what is
-then in different components, all is compared in buckets of up to `CROSSED` keys. In buckets beyond that, pairs without
-either of the two keys are compared only if they share a smaller bucket too: their number would grow with the square
-of a group's size. The README has figures of what that leaves.
+the key that has the most company in all its buckets (an original among its copies) and with the least key. The keys of a
+bucket that are then outside its largest component are its strays. Strays are compared with all of the bucket where they
+are few; where they are many, some of them are heads and compared with all of it, in rounds, until the strays that are
+left are few. So every pair of a bucket is compared or known to be connected, and a bucket costs its size times its strays.
 
 Words are split at ASCII white space, A-Z lower-cased. Nulls: a null text is the empty text, and all texts without words are
 copies. A null doc_id counts as no document when the first of a component is named. An empty table gives an empty result.
-Other columns are not read.
+Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,18 +23,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, small, small_batches
+from tessera.llm import simhash
+from tessera.llm.common import Scratch, small_batches
 from tessera.llm.simhash import components
 
 WORDS, LEAST = 5, 0.8
 ROWS, BANDS = 4, 18
 #: Keys of a bucket that are all compared with each other.
 PAIRED = 16
-#: Keys of a bucket whose components are all compared with each other.
-CROSSED = 256
+#: Strays of a bucket that are compared with all of it at once, and heads of a round in a bucket that has more.
+STRAYS, HEADS = 64, 16
 #: Shingles that are hashed at once.
 BLOCK = 1 << 12
 SEED = 42
@@ -82,24 +85,25 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, th: the text's hash, key: the hash of its words, n: its shingles, bands array<long>."""
+    """doc_id, th: the text's hash, key: the hash of its words, n: its shingles, fp: its SimHash fingerprint, bands array<long>."""
 
     def run(batches):
         for batch in batches:
-            keys, sizes, values = [], [], []
+            keys, sizes, values, prints = [], [], [], []
             for text in batch.column(2):
                 words = split(text.as_py())
+                prints.append(simhash.majority(simhash.shingle_hashes(words)))
                 found = shingles(words)
                 keys.append(xxhash.xxh64_intdigest(b" ".join(words), SEED))
                 sizes.append(len(found))
                 values.append(bands(found))
             flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * BANDS, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists], names=["doc_id", "th", "key", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), lists], names=["doc_id", "th", "key", "n", "fp", "bands"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, key long, n long, bands array<long>")
+    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, key long, n long, fp long, bands array<long>")
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -129,15 +133,18 @@ def _apart(rows: DataFrame) -> DataFrame:
 
 def links(marked: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root): the keys that have near copies, with the least key of their component."""
-    keys = marked.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    distinct = scratch.cut(keys.select("key", "row.doc_id", "row.th", "n", "bands"))
+    keys = marked.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    distinct = scratch.cut(keys.select("key", "row.doc_id", "row.th", "n", "fp", "bands"))
     rows = distinct.select("key", "n", F.explode("bands").alias("band"))
     sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     member = scratch.cut(rows.join(sizes, "band"))
-    wanted = member.select(F.col("key").alias("wanted")).distinct()
-    one = distinct.join(wanted, F.col("key") == F.col("wanted"), "left_semi").select("key", F.col("doc_id").alias("d"), F.col("th").alias("h"))
-    texts = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
-    texts = scratch.cut(texts.join(small(scratch.cut(one)), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).select("key", "text").dropDuplicates(["key"]))
+
+    # one key stands for each fingerprint, as keys of equal fingerprints are candidates of it
+    print_ = distinct.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("k"), F.count("*").alias("keys"))
+    prints = scratch.cut(print_.select("fp", F.col("k.key").alias("b"), F.col("k.n").alias("nb"), "keys"))
+    near = simhash.links(simhash.shards(prints.select("fp"), scratch)).distinct().withColumnsRenamed({"a": "from", "b": "to"})
+    linked = near.join(prints.select(F.col("fp").alias("from"), F.col("b").alias("a"), F.col("nb").alias("na")), "from").join(prints.select(F.col("fp").alias("to"), "b", "nb"), "to").select("a", "na", "b", "nb")
+    same = distinct.select(F.col("key").alias("a"), F.col("n").alias("na"), "fp").join(prints.where("keys > 1"), "fp").select("a", "na", "b", "nb")
 
     listed = member.where(F.col("size") <= PAIRED).groupBy("band").agg(F.collect_list(F.struct("key", "n")).alias("x"))
     pair = listed.select(F.explode("x").alias("p"), "x").select("p", F.explode("x").alias("q")).where("p.key < q.key")
@@ -147,34 +154,50 @@ def links(marked: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     heads = large.join(company, "key").groupBy("band").agg(F.max(F.struct("company", "key", "n")).alias("m"), F.min(F.struct("key", "n")).alias("l"))
     heads = heads.select("band", F.explode(F.array(F.struct("m.key", "m.n"), F.struct("l.key", "l.n"))).alias("h"))
     star = large.join(heads, "band").select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("h.key").alias("b"), F.col("h.n").alias("nb"))
-    tried = scratch.cut(_apart(close.unionByName(star)))
+    tried = scratch.cut(_apart(close.unionByName(star).unionByName(linked).unionByName(same)))
+
+    wanted = tried.select("a").union(tried.select("b")).union(large.select("key")).distinct()
+    first = distinct.join(wanted, F.col("key") == F.col("a"), "left_semi").select("key", F.col("doc_id").alias("d"), F.col("th").alias("h"))
+    texts = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    texts = scratch.cut(texts.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).select("key", "text").dropDuplicates(["key"]))
     edges = scratch.cut(compared(tried, texts))
     roots = components(edges, scratch)
-    # in the large buckets, what isn't in one component by now
-    rooted = large.where(F.col("size") <= CROSSED).join(roots, F.col("key") == F.col("node"), "left").select("band", "key", "n", F.coalesce("root", "key").alias("root"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    rest = scratch.cut(rooted.join(mixed, "band"))
-    other = rest.select("band", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to"))
-    more = _apart(rest.select("band", F.col("key").alias("a"), F.col("n").alias("na"), "root").join(other, "band").where("a < b and root <> to"))
-    more = scratch.cut(more.join(tried, ["a", "b"], "left_anti"))
-    if more.isEmpty():
-        return roots
-    return components(edges.unionByName(compared(more, texts)), scratch)
+    used = large.select("band", F.col("key").alias("used")).limit(0)
+    while True:
+        rooted = scratch.cut(large.join(roots, F.col("key") == F.col("node"), "left").select("band", "key", "n", F.coalesce("root", "key").alias("root")))
+        each = rooted.groupBy("band", "root").agg(F.count("*").alias("held"))
+        most = each.groupBy("band").agg(F.max(F.struct("held", "root")).alias("m"), F.sum("held").alias("size")).where("size > m.held")
+        stray = rooted.join(most.select("band", F.col("m.root").alias("main"), (F.col("size") - F.col("m.held")).alias("strays")), "band").where("root <> main")
+        stray = stray.join(used, (stray["band"] == used["band"]) & (stray["key"] == used["used"]), "left_anti")
+        order = F.row_number().over(Window.partitionBy("band").orderBy("key"))
+        head = scratch.cut(stray.withColumn("at", order).where((F.col("strays") <= STRAYS) | (F.col("at") <= HEADS)).select("band", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to")))
+        if head.isEmpty():
+            return roots
+        used = scratch.cut(used.union(head.select("band", "b")))
+        more = rooted.select("band", F.col("key").alias("a"), F.col("n").alias("na"), "root").join(head, "band").where("root <> to")
+        more = scratch.cut(_apart(more).join(tried, ["a", "b"], "left_anti"))
+        tried = scratch.cut(tried.unionByName(more))
+        found = scratch.cut(compared(more, texts))
+        if not found.isEmpty():
+            edges = scratch.cut(edges.unionByName(found))
+            roots = components(edges, scratch)
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, th, key, component_id: the smallest doc_id that is reachable through near copies."""
+    """doc_id, th, key, component_id: the smallest doc_id that is reachable through near copies, component_th: the smallest hash of a text of its."""
     scratch = Scratch(docs.sparkSession, "nearcopies")
     marked = scratch.cut(signatures(docs))
     roots = links(marked, docs, scratch)
-    first = marked.groupBy("key").agg(F.min("doc_id").alias("first"))
+    first = marked.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
     named = first.join(roots, first["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(named.join(least, "root").select("key", "component_id"), "key").select("doc_id", "th", "key", "component_id")
+    least = named.groupBy("root").agg(F.min("first").alias("first"))
+    member = named.join(least.withColumnRenamed("first", "of"), "root").select("key", F.col("of.doc_id").alias("component_id"), F.col("of.th").alias("component_th"))
+    return marked.select("doc_id", "th", "key").join(member, "key").select("doc_id", "th", "key", "component_id", "component_th")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, as it is: the one with the smallest doc_id. Rows equal in all columns are copies too: one stays."""
-    marked = near_copies(docs)
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates()
+    """One row of each component, as it is: the one with the smallest doc_id, null ids last, of rows of equal id the one with the smallest hash of its text, of those the first by all columns."""
+    kept = near_copies(docs).select(F.col("component_id").alias("k_id"), F.col("component_th").alias("k_th")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows = rows.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left_semi")
+    return rows.groupBy("doc_id", "th").agg(F.min("row").alias("row")).select("row.*")

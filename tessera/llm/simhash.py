@@ -29,6 +29,8 @@ from tessera.llm.common import Scratch, small_batches
 SEED, WORDS, RADIUS = 42, 3, 2
 #: Shards of more fingerprints are split by the bits that remain.
 SPLIT = 2048
+#: Rows of a fingerprint from which it is hot.
+HOT = 100_000
 #: Pairs of a searched fingerprint and a tree node that are held at once.
 FRONTIER = 1 << 20
 #: Three ranges of the bits, and of each range's rest again three: (shift, width) pieces.
@@ -36,22 +38,26 @@ RANGES = ((0, 21), (21, 21), (42, 22))
 BITS = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
-def fingerprint(text: str | None) -> int:
-    """The fingerprint of one text."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    n = len(words)
-    if n <= WORDS:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(b"%b %b %b" % x, SEED) for x in zip(words, words[1:], words[2:], strict=False)]
+def shingle_hashes(words: list[bytes]) -> list[int]:
+    """The hash of each shingle of words, repeats included; of fewer words that of the whole sequence."""
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= WORDS:
+        return [digest(b" ".join(words), SEED)] if words else []
+    return [digest(b"%b %b %b" % x, SEED) for x in zip(words, words[1:], words[2:], strict=False)]
+
+
+def majority(hashes: list[int]) -> int:
+    """A number whose bits are set where more than half of the hashes have them; 0 of none."""
     total = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[at : at + (1 << 16)], ">u8")
         total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big") if hashes else 0
+
+
+def fingerprint(text: str | None) -> int:
+    """The fingerprint of one text."""
+    return majority(shingle_hashes((text or "").encode().lower().split()))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -236,16 +242,24 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
-    """doc_id, fp long, component_id: the smallest doc_id that is reachable through linked fingerprints."""
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, split: int = SPLIT, hot: int = HOT) -> DataFrame:
+    """doc_id, fp long, component_id: the smallest doc_id that is reachable through linked fingerprints.
+
+    Fingerprints of over hot rows (that of the texts without words, those of much copied ones) are joined by broadcast:
+    there are at most a row of them for hot rows of docs, and their copies need not meet in one task."""
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.cut(fingerprints(docs))
-    distinct = scratch.cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    distinct = scratch.cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
     roots = components(links(shards(distinct.select("fp"), scratch, split), radius), scratch)
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "rows", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = named.join(least, "root").select("fp", "component_id")
-    return marked.join(member, "fp").select("doc_id", "fp", "component_id")
+    member = scratch.cut(named.join(least, "root").select("fp", "rows", "component_id"))
+    often = F.broadcast(member.where(F.col("rows") > hot).select(F.col("fp").alias("h_fp"), F.col("component_id").alias("h_id")))
+    seldom = member.where(F.col("rows") <= hot).select(F.col("fp").alias("s_fp"), F.col("component_id").alias("s_id"))
+    known = marked.join(often, marked["fp"] == often["h_fp"], "left").select("doc_id", "fp", "h_fp", "h_id")
+    there = known.where("h_fp is not null").select("doc_id", "fp", F.col("h_id").alias("component_id"))
+    rest = known.where("h_fp is null").join(seldom, F.col("fp") == F.col("s_fp")).select("doc_id", "fp", F.col("s_id").alias("component_id"))
+    return there.unionByName(rest)
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -254,7 +268,13 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, as it is: the one with the smallest doc_id. Rows equal in all columns are copies too: one stays."""
-    marked = near_duplicates(docs)
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates()
+    """One row of each component, as it is: that of the smallest doc_id, then of the smallest hash of its text; of rows equal in both the first by all columns.
+
+    Rows without a doc_id come last. A component is of fingerprints, so rows of one id in different components are each kept."""
+    scratch = Scratch(docs.sparkSession, "keepfirst")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    named = scratch.cut(near_duplicates(docs.select(F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).alias("doc_id"), "text")))
+    kept = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id.doc_id").isNull().alias("none"), F.col("doc_id.doc_id").alias("id"), F.col("doc_id.th").alias("th"))).alias("k"))
+    kept = kept.select(F.col("k.id").alias("k_id"), F.col("k.th").alias("k_th")).distinct()
+    rows = rows.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left_semi")
+    return rows.groupBy("doc_id", "th").agg(F.min("row").alias("row")).select("row.*")

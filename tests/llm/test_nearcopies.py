@@ -65,3 +65,27 @@ def test_bands_find_nearly_all():
         x, y = (nearcopies.shingles(nearcopies.split(t)) for t in (a, b))
         found += bool(set(nearcopies.bands(x).tolist()) & set(nearcopies.bands(y).tolist()))
     assert found >= 299
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    docs = spark.createDataFrame([(3, "s one two three four five"), (5, "s one two three four five"), (5, "t six seven eight nine ten"), (None, "T six seven eight nine ten")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [(3, "s one two three four five"), (5, "t six seven eight nine ten")]
+
+
+def test_strays_of_large_buckets(spark, monkeypatch):
+    """Chains of copies, each near to the next only, with so few comparisons at once that rounds are needed."""
+    monkeypatch.setattr(nearcopies, "PAIRED", 2)
+    monkeypatch.setattr(nearcopies, "STRAYS", 3)
+    monkeypatch.setattr(nearcopies, "HEADS", 2)
+    rng = random.Random(6)
+    rows, now = [], text(rng, 200)
+    for i in range(40):
+        rows.append((i, now))
+        now = edited(rng, now, 3 if i % 9 else 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in nearcopies.keep_first(docs).collect()) == brute(rows)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", 7, 8), (2, "a b c", 9, 10)], "doc_id long, text string, key long, th long")
+    assert [tuple(r) for r in nearcopies.keep_first(docs).collect()] == [(1, "a b c", 7, 8)]
