@@ -13,16 +13,19 @@ result. Other columns are not read.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold
+from tessera.llm.common import Scratch, fold
 
 WORDS = 5
 #: Hashes below 2**-SCALE of the range are kept.
 SCALE = 2
-#: Documents of a bucket of consecutive ids, and the most buckets.
-BUCKET, BUCKETS = 5_000, 2_048
+#: Documents of a bucket of consecutive ids; more where there are over BUCKET ** 2, as buckets and their sizes both grow with the root of the documents.
+BUCKET = 1_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -73,25 +76,41 @@ def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
     return kept(below(both, scale), both)
 
 
+def bounds(keys: DataFrame, parts: int) -> list[tuple]:
+    """The first key (there, id, h) of each of about parts ranges of keys, ascending. The keys are sorted into ranges on the executors; the driver gets a row for each range."""
+    ranged = Scratch(keys.sparkSession, "sketch").cut(keys.repartitionByRange(parts, "there", "id", "h").withColumn("part", F.spark_partition_id()))
+    firsts = ranged.groupBy("part").agg(F.min(F.struct("there", "id", "h")).alias("first")).select("first.*").orderBy("there", "id", "h")
+    return [tuple(r) for r in firsts.collect()]
+
+
+def bucket_of(key: Column, first: Column, n: int) -> Column:
+    """The last of the n ascending first keys that isn't above the key, counted from 0, by bisection."""
+    steps = F.array(*(F.lit(1 << power) for power in reversed(range(n.bit_length()))))  # first[low] <= key, or low is 0, from step to step
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when((low + step < n) & (F.get(first, low + step) <= key), low + step).otherwise(low))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text and next_text, the text of the document that follows by doc_id; after the last comes the first.
 
-    Documents are dealt to buckets of consecutive ids. Every bucket also gets a copy of the first row of the next bucket
-    that has rows, as a guard behind its last, so that the neighbour is found within a bucket."""
-    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    Documents are dealt to buckets of consecutive keys (id and text's hash, so that rows of one id may lie in several).
+    A bucket also gets a copy of the first row of the next one, as a guard behind its last, so that the neighbour is found within a bucket."""
+    text = F.coalesce("text", F.lit(""))
+    plain = docs.select("doc_id", text.alias("text"), F.struct(F.col("doc_id").isNotNull().alias("there"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("h")).alias("key"))
     n = docs.count()
-    parts = min(BUCKETS, -(-n // BUCKET))
-    at = F.lit(0)
+    parts = math.ceil(n / max(BUCKET, math.isqrt(n)))
     if parts > 1:
-        bounds = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10 * parts).alias("b")).first()["b"] or []
-        at = F.size(F.filter(F.array(*(F.lit(b) for b in sorted(set(bounds)))).cast("array<bigint>"), lambda b: b < F.coalesce("doc_id", F.lit(-(1 << 63)))))
-    plain = plain.withColumn("bucket", at)
-    firsts = plain.groupBy("bucket").agg(F.min(F.struct("doc_id", "h")).alias("first"))
-    by_bucket, all_buckets = Window.orderBy("bucket"), Window.partitionBy()
-    firsts = firsts.select(F.coalesce(F.lag("bucket").over(by_bucket), F.max("bucket").over(all_buckets)).alias("to"), F.col("first.doc_id").alias("id"), F.col("first.h").alias("first_h"))
-    guards = plain.join(F.broadcast(firsts), plain["doc_id"].eqNullSafe(firsts["id"]) & (plain["h"] == firsts["first_h"])).select("doc_id", "text", "h", F.col("to").alias("bucket"), F.lit(1).alias("guard"))
-    rows = plain.withColumn("guard", F.lit(0)).unionByName(guards)
-    order = Window.partitionBy("bucket").orderBy("guard", F.col("doc_id").asc_nulls_first(), "h")
+        found = bounds(plain.select("key.*"), parts)
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        listed = json.dumps([{"there": t, "id": i, "h": h} for t, i, h in found], default=str)
+        first = F.from_json(F.lit(listed), f"array<struct<there:boolean,id:{kind},h:bigint>>")  # folded to a literal of 24 bytes a bucket
+        plain = plain.withColumn("bucket", bucket_of(F.col("key"), first, len(found)))
+        guards = plain.where(F.get(first, F.col("bucket")) == F.col("key")).withColumn("bucket", F.pmod(F.col("bucket") - 1, F.lit(len(found))))
+    else:
+        plain = plain.withColumn("bucket", F.lit(0))
+        least = plain.agg(F.min("key").alias("least"))
+        guards = plain.join(F.broadcast(least), F.col("key") == F.col("least"), "left_semi")
+    rows = plain.withColumn("guard", F.lit(0)).unionByName(guards.withColumn("guard", F.lit(1)))
+    order = Window.partitionBy("bucket").orderBy("guard", "key")
     return rows.withColumn("next_text", F.lead("text").over(order)).where("guard = 0").select("doc_id", "text", "next_text")
 
 
