@@ -1,12 +1,11 @@
 """Language identification by hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A trigram's vector binds (multiplies) the first letter's vector permuted
+Every letter has a random vector of +1 and -1, of its own, made from its code point. A trigram's vector binds (multiplies) the first letter's vector permuted
 twice, the second's permuted once and the third's. A document's vector bundles (adds) its trigrams' vectors, and a
 language's prototype bundles the vectors, each of length one, of a bounded sample of its labelled documents. The
 prototype of the greatest cosine names the language; the score is a softmax over the cosines.
 
-Letters are lower-cased; letters beyond a-z share a fixed number of slots by code point; runs of other characters are
-one blank. Nulls: a null text, or one without a letter, is `und` with score 0; rows whose language is null are not
+Letters are lower-cased; runs of other characters are one blank, which has a vector too. Nulls: a null text, or one without a letter, is `und` with score 0; rows whose language is null are not
 learned from. Ties of cosines go to the first language in order. Equal texts get equal results. Without a labelled row
 every language is `und`. Very long texts are read whole, in slices. An empty table gives an empty result. Other columns
 are not read.
@@ -22,50 +21,43 @@ from pyspark.sql import functions as F
 from tessera.llm.common import remainder, sampled, small_batches
 
 #: Labelled documents that the prototypes are fitted on, about; length of the vectors; seed.
-MAX_TRAIN, SIZE, SEED = 20_000, 512, 20
-#: Letter slots: blank, a-z, and slots that all other letters share.
-SLOTS = 64
+MAX_TRAIN, SIZE, SEED = 20_000, 1024, 20
 #: Sharpness of the softmax over cosines.
 SHARPNESS = 40.0
 #: Trigram vectors that one Python worker remembers.
 HELD = 50_000
 #: Characters of a text that are counted at once.
 SLICE = 1 << 20
+#: Bits of a code point.
+WIDE = 21
 
-_tables: tuple[np.ndarray, np.ndarray] | None = None
+_letters: np.ndarray | None = None
 
 
-def tables() -> tuple[np.ndarray, np.ndarray]:
-    """The slot of each code point of the basic plane, and the letter vectors by slot."""
-    global _tables
-    if _tables is None:
-        slot = np.zeros(0x10000, np.uint8)
-        for c in range(0x10000):
-            low = chr(c).lower()
-            if chr(c).isalpha():
-                o = ord(low[0])
-                slot[c] = o - 96 if 97 <= o <= 122 else 27 + o % (SLOTS - 27)
-        letters = np.random.default_rng(SEED).choice(np.array([-1, 1], np.float32), (SLOTS, SIZE))
-        _tables = slot, letters
-    return _tables
+def letters() -> np.ndarray:
+    """The lower-case letter of each code point; 0 of those that aren't letters."""
+    global _letters
+    if _letters is None:
+        _letters = np.fromiter((ord(chr(c).lower()[0]) if chr(c).isalpha() else 0 for c in range(0x110000)), np.uint32, 0x110000)
+    return _letters
+
+
+def letter_vector(point: int) -> np.ndarray:
+    """The vector of a letter, or of the blank (0)."""
+    return np.random.default_rng([SEED, point]).choice(np.array([-1, 1], np.int8), SIZE)
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of the text's trigrams of slots; none if it has no letter."""
-    slot, _ = tables()
+    """Codes and counts of the text's trigrams of letters; none if it has no letter."""
     codes, counts = [], []
     carry = np.zeros(1, np.int64)
     for at in range(0, len(text), SLICE):
-        points = np.frombuffer(text[at : at + SLICE].encode("utf-32-le"), np.uint32)
-        wide = points > 0xFFFF
-        s = slot[np.where(wide, 0, points)].astype(np.int64)
-        if wide.any():
-            s[wide] = [27 + int(c) % (SLOTS - 27) if chr(int(c)).isalpha() else 0 for c in points[wide]]
+        s = letters()[np.frombuffer(text[at : at + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
         s = np.concatenate([carry, s] if at + SLICE < len(text) else [carry, s, [0]])
         s = s[np.r_[True, (s[1:] != 0) | (s[:-1] != 0)]]  # a run of blanks is one
         carry = s[-2:]
         if len(s) > 2:
-            c, n = np.unique((s[:-2] * SLOTS + s[1:-1]) * SLOTS + s[2:], return_counts=True)
+            c, n = np.unique((s[:-2] << 2 * WIDE) | (s[1:-1] << WIDE) | s[2:], return_counts=True)
             codes.append(c)
             counts.append(n)
     if not codes:
@@ -80,33 +72,41 @@ class Binder:
     """Vectors of trigram codes, made when first asked for; all are forgotten when they would be more than HELD and one text's."""
 
     def __init__(self):
-        self.row = np.full(SLOTS**3, -1, np.int64)
-        self.vectors = np.zeros((1024, SIZE), np.float32)
-        self.n = 0
-
-    def rows(self, codes: np.ndarray) -> np.ndarray:
-        lacking = codes[self.row[codes] < 0]
-        if len(lacking) and self.n + len(lacking) > HELD:
-            self.row[:] = -1
-            self.n, lacking = 0, codes
-        if len(lacking):
-            letters = tables()[1]
-            a, b, c = lacking // (SLOTS * SLOTS), lacking // SLOTS % SLOTS, lacking % SLOTS
-            made = np.roll(letters[a], 2, axis=1) * np.roll(letters[b], 1, axis=1) * letters[c]
-            while self.n + len(lacking) > len(self.vectors):
+        self.row: dict[int, int] = {}
+        self.known: dict[int, np.ndarray] = {}
+        self.vectors = np.zeros((1024, SIZE), np.int8)
+
+    def letter(self, point: int) -> np.ndarray:
+        if point not in self.known:
+            self.known[point] = letter_vector(point)
+        return self.known[point]
+
+    def rows(self, codes: list[int]) -> list[int]:
+        lacking = [c for c in codes if c not in self.row]
+        if lacking and len(self.row) + len(lacking) > HELD:
+            self.row.clear()
+            self.known.clear()
+            lacking = codes
+        if lacking:
+            mask = (1 << WIDE) - 1
+            a, b, c = (np.stack([self.letter(x >> shift & mask) for x in lacking]) for shift in (2 * WIDE, WIDE, 0))
+            n = len(self.row)
+            while n + len(lacking) > len(self.vectors):
                 self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            self.vectors[self.n : self.n + len(lacking)] = made
-            self.row[lacking] = np.arange(self.n, self.n + len(lacking))
-            self.n += len(lacking)
-        return self.row[codes]
+            self.vectors[n : n + len(lacking)] = np.roll(a, 2, axis=1) * np.roll(b, 1, axis=1) * c
+            self.row.update(zip(lacking, range(n, n + len(lacking)), strict=True))
+        return [self.row[c] for c in codes]
 
     def bundle(self, text: str) -> np.ndarray | None:
         """The text's vector; null if it has no letter."""
         codes, counts = trigrams(text)
         if not len(codes) or not codes.any():
             return None
-        rows = self.rows(codes)
-        return counts.astype(np.float32) @ self.vectors[rows]
+        out = np.zeros(SIZE, np.float32)
+        for at in range(0, len(codes), 4096):
+            rows = self.rows(codes[at : at + 4096].tolist())
+            out += counts[at : at + 4096].astype(np.float32) @ self.vectors[rows].astype(np.float32)
+        return out
 
 
 _binder: Binder | None = None

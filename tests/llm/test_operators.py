@@ -1,9 +1,11 @@
 """Every operator of the list against a brute-force version on a small fixture, with the hard cases among its rows."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -257,12 +259,23 @@ def test_sketch(spark, docs, nothing, rows):
         w = t.lower().split()
         return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
+    def kept(t):
+        """The hashes of the 5-word shingles in the lowest quarter, by the hashing of Spark: one value seeds the next."""
+        chain = lambda values: functools.reduce(lambda seed, x: xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed), values, 42)
+        w = [xxhash.xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) if x]
+        every = {chain(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {chain(w)} if w else set()
+        return {h for h in every if h < 1 << 62} or ({min(every)} if every else set())
+
+    alike = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
     for i, text in enumerate(texts):
         following = texts[(i + 1) % len(texts)]
         half = len(text) // 2
         other = text[: len(text) - half] + following[:half]
         r = found[i][0]
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(other.encode()).hexdigest()
+        mine = kept(text)
+        assert r["sketch_size"] == len(mine)
+        assert r["near_edited"] == pytest.approx(alike(mine, kept(other))) and r["near_next"] == pytest.approx(alike(mine, kept(following)))
         a, b = shingles(text), shingles(other)
         if len(a | b) > 200:
             assert abs(r["near_edited"] - len(a & b) / len(a | b)) < 0.2
@@ -297,10 +310,11 @@ def test_language_id(spark, docs, nothing):
 
 
 def test_language_vectors_bind_and_bundle():
-    letters = langid.tables()[1]
-    slots = [0, 1, 2, 0]
-    want = sum(np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for a, b, c in zip(slots, slots[1:], slots[2:], strict=False))
-    assert np.allclose(langid.Binder().bundle("ab"), want)
+    v = {c: langid.letter_vector(ord(c) if c else 0).astype(int) for c in ("", "a", "ß")}
+    slots = ["", "a", "ß", ""]
+    want = sum(np.roll(v[a], 2) * np.roll(v[b], 1) * v[c] for a, b, c in zip(slots, slots[1:], slots[2:], strict=False))
+    assert np.allclose(langid.Binder().bundle("Aß"), want)
+    assert all(abs(int(langid.letter_vector(x).astype(int) @ langid.letter_vector(y))) < 200 for x, y in ((97, 98), (0x430, 0x410), (0x4E00, 0x4E25)))
     long = "kala puu " * 300_000
     codes, counts = langid.trigrams(long)
     assert counts.sum() == len(long) - 1 + 1 or abs(counts.sum() - len(long)) <= 2
@@ -403,3 +417,24 @@ def test_null_ids_and_nulls_everywhere(spark):
     left = {(r["doc_id"], r["text"]) for r in linededup.deduplicated(df).collect()}
     assert (None, "alpha beta gamma delta " * 20) in left and (5, "") in left
     assert simhash.digests(df).count() == 5 and simhash.keep_first(df).count() == 3
+
+
+def test_url_tree_grows_where_urls_are(spark):
+    """Segments beyond the third tell verdicts apart; many children of a hot host stay; a lone deep path costs no levels."""
+    rows = [f"http://h.net/a/b/c/{x}/{i}" for i in range(100) for x in ("good", "bad")] + ["http://lone.net/" + "x/" * 3000]
+    rows += [f"http://wide.net/s{k}/{i}" for k in range(60) for i in range(40)]
+    bad = [int("/bad/" in u) if i < 150 else (int(u.split("/")[3] == "s7") if "wide" in u else None) for i, u in enumerate(rows)]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(zip(rows, bad, strict=True))], "page_id long, url string, bad int")
+    got = {rows[r["page_id"]]: r for r in urltree.judge(pages, (), "bad").collect()}
+    assert {r["verdict"] for u, r in got.items() if "/good/" in u} == {"allow"} and {r["verdict"] for u, r in got.items() if "/bad/" in u} == {"block"}
+    assert got["http://wide.net/s7/3"]["verdict"] == "block" and got["http://wide.net/s8/3"]["verdict"] == "allow" and got["http://wide.net/s8/3"]["template"] == "/s8/*"
+    assert got[rows[200]]["template"] == "/**"
+
+
+def test_url_tree_merges_by_counts(spark):
+    """Shares on one side of a boundary or the other merge if their counts can't tell them apart, and don't if they can."""
+    rows = [("few", "x", k, k < 9) for k in range(20)] + [("few", "y", k, k < 11) for k in range(20)] + [("few", "z", k, k < 1) for k in range(20)]
+    rows += [("big", "p", k, k < 360) for k in range(800)] + [("big", "q", k, k < 440) for k in range(800)]
+    pages = spark.createDataFrame([(i, f"http://{h}.net/{s}/{k}", int(b)) for i, (h, s, k, b) in enumerate(rows)], "page_id long, url string, bad int")
+    purity = {(r["host"], r["template"]): r["purity"] for r in urltree.judge(pages, (), "bad").collect()}
+    assert purity["few.net", "/x/*"] == purity["few.net", "/y/*"] != purity["few.net", "/z/*"] and purity["big.net", "/p/*"] != purity["big.net", "/q/*"]
