@@ -1,11 +1,14 @@
 """Toxicity by maximum-scoring segments.
 
 Training counts, over a bounded sample of labelled rows, the words and word prefixes of toxic and of other texts, each
-context of a word once, so that copied passages count once too. A feature's score is its log-odds under an informative Dirichlet prior, kept where it is
-significantly toxic; all other words cost a constant drift. A linear scan finds every maximal scoring segment of a text
-(the all-maximal-segments problem), extreme-value theory turns a segment's score into an expected number of chance
-segments of that score in a text of that length, and significant segments are the passages. A text's evidence is the
-sum of its segments' significance; a logistic curve fitted on the sample's labels makes it a probability.
+context of a word once, so that copied passages count once too. A feature's score is its log-odds under an informative
+Dirichlet prior, positive or negative, less a drift; a word without a feature, or whose log-odds chance may have made
+or are small (a frequent word's, which would add up where it is repeated), has the drift alone. A linear scan over the scores finds every maximal scoring segment of a text (the
+all-maximal-segments problem). Extreme-value theory turns a segment's score into an expected number of chance segments
+of that score in a text of that length: k * words * exp(-rate * score), where the rate solves the equation of the scores
+in texts that aren't toxic and k is fitted to the segments found there. Significant segments are the passages. A text's
+evidence is the sum of its segments' significance; a logistic curve makes it a probability. Rate, k and curve are fitted on
+a third of the sample that the features are not taken from.
 
 Nulls: a null text is the empty text; texts without a word have no segment and get the score of no evidence. Labels
 that are null or whose document is missing are not learned from; several labels of a document count as toxic if one is.
@@ -26,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import remainder, sampled, small_batches
+from tessera.llm.common import Scratch, remainder, sampled, small_batches
 
 #: Labelled rows that the classifier is fitted on, and features that it keeps: its bound in memory.
 MAX_TRAIN, MAX_FEATURES = 20_000, 200_000
-#: Least z-score of a feature, prior tokens as a share of all tokens, drift per ordinary word, expected chance segments below which a segment is significant.
-MIN_Z, PRIOR, DRIFT, MAX_EXPECTED = 4.0, 0.1, 0.25, 0.05
+#: Least z-score of a feature, up or down, prior tokens as a share of all tokens, drift per word, expected chance segments below which a segment is significant.
+MIN_Z, PRIOR, DRIFT, MAX_EXPECTED = 3.5, 0.1, 0.25, 0.05
+#: Texts of each kind that the calibration's third needs; with fewer all texts are used.
+MIN_HELD = 10
 #: Lengths of the word prefixes that stand in for unseen words.
 PREFIXES = (4, 5, 6)
 #: Words that one Python worker remembers.
@@ -56,7 +61,7 @@ class Model:
             for n in reversed(PREFIXES):
                 if len(word) > n and (found := self.scores.get(word[:n] + "*")) is not None:
                     break
-        return -DRIFT if found is None else found
+        return (found or 0.0) - DRIFT
 
     def expected(self, score: float, n: int) -> float:
         """Expected chance segments of that score in n words."""
@@ -89,32 +94,34 @@ def segments(scores: list[tuple[int, int, float]]) -> list[tuple[int, int, float
     return [(a, b, right - left) for a, b, left, right in found]
 
 
-def passages(model: Model, text: str | None, cache: dict[str, float] | None = None) -> tuple[int, list[tuple[int, int, float, float]]]:
-    """The number of words, and the significant segments: first word, last word, score, expected chance segments."""
+def scored_segments(model: Model, text: str | None, cache: dict[str, float]) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
+    """The words' scores and all maximal scoring segments: first word, last word, score. cache: scores by word, of CACHE words at most besides the text's own."""
     words = WORD.findall((text or "").lower())
-    cache = {} if cache is None else cache
     lacking = set(words).difference(cache)
     if lacking:
         if len(cache) + len(lacking) > CACHE:
             cache.clear()
             lacking = set(words)
         cache.update((w, model.word(w)) for w in lacking)
-    values = list(map(cache.__getitem__, words))
+    values = np.fromiter(map(cache.__getitem__, words), float, len(words))
     runs: list[tuple[int, int, float]] = []
-    behind = 0
-    if max(values, default=-1.0) > 0:
-        for i, v in enumerate(values):
-            if v > 0:
-                if i > behind:
-                    runs.append((behind, i - 1, -DRIFT * (i - behind)))
-                runs.append((i, i, v))
-                behind = i + 1
-    out = []
-    for a, b, score in segments(runs):
-        e = model.expected(score, len(words))
-        if e < MAX_EXPECTED:
-            out.append((a, b, score, e))
-    return len(words), out
+    above = np.flatnonzero(values > 0)
+    if len(above):
+        total = np.concatenate([[0.0], np.cumsum(values)])
+        behind = 0
+        for i, v, before in zip(above.tolist(), values[above].tolist(), total[above].tolist(), strict=True):
+            if i > behind:
+                runs.append((behind, i - 1, before - float(total[behind])))
+            runs.append((i, i, v))
+            behind = i + 1
+    return values, segments(runs)
+
+
+def passages(model: Model, text: str | None, cache: dict[str, float] | None = None) -> tuple[int, list[tuple[int, int, float, float]]]:
+    """The number of words, and the significant segments: first word, last word, score, expected chance segments."""
+    values, found = scored_segments(model, text, {} if cache is None else cache)
+    each = ((a, b, score, model.expected(score, len(values))) for a, b, score in found)
+    return len(values), [x for x in each if x[3] < MAX_EXPECTED]
 
 
 def evidence(found: list[tuple[int, int, float, float]]) -> float:
@@ -140,68 +147,69 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     """The model of labels (doc_id, toxic) of docs; at most about max_train of them are used."""
     marked = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     train = sampled(marked, F.col("doc_id"), max_train)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(train), "doc_id")
-    texts = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).persist()
-    try:
-        model = Model()
-        n1, n0 = (int(x or 0) for x in texts.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-        if not n1 or not n0:
-            share = n1 / max(1, n1 + n0)
-            model.offset = math.log((share + 1e-9) / (1 - share + 1e-9))
-            return model
-        counted = _counted(texts).persist()
-        t1, t0 = (float(x or 1) for x in counted.where("not endswith(feature, '*')").agg(F.sum("y1"), F.sum("y0")).first())
-        # log-odds with a prior of PRIOR of all tokens, dealt out as the feature is dealt out in all texts
-        alpha = PRIOR * (F.col("y1") + F.col("y0"))
-        all_alpha = PRIOR * (t1 + t0)
-        odds = lambda y, t: F.log((F.col(y) + alpha) / (t + all_alpha - F.col(y) - alpha))
-        delta = odds("y1", t1) - odds("y0", t0)
-        z = delta / F.sqrt(1 / (F.col("y1") + alpha) + 1 / (F.col("y0") + alpha))
-        kept = counted.select("feature", "y1", "y0", delta.alias("score"), z.alias("z")).where((F.col("z") >= MIN_Z) & (F.col("score") > 2 * DRIFT))
-        rows = kept.orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()
-        model.scores = {r["feature"]: r["score"] for r in rows}
-        counted.unpersist()
-        _calibrate(model, texts, n0)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(train), "doc_id")  # about max_train rows
+    texts = scratch.cut(texts.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")))
+    model = Model()
+    held = F.pmod("h", F.lit(3)) == 0
+    n1, n0, h1, h0 = (int(x or 0) for x in texts.agg(F.sum("toxic"), F.sum(1 - F.col("toxic")), F.sum(F.when(held, F.col("toxic"))), F.sum(F.when(held, 1 - F.col("toxic")))).first())
+    if not n1 or not n0:
+        share = n1 / max(1, n1 + n0)
+        model.offset = math.log((share + 1e-9) / (1 - share + 1e-9))
         return model
-    finally:
-        texts.unpersist()
-
+    apart = min(h1, h0) >= MIN_HELD and n1 - h1 >= MIN_HELD
+    counted = scratch.cut(_counted(texts.where(~held) if apart else texts))
+    t1, t0 = (float(x or 1) for x in counted.where("not endswith(feature, '*')").agg(F.sum("y1"), F.sum("y0")).first())
+    # log-odds with a prior of PRIOR of all tokens, dealt out as the feature is dealt out in all texts
+    alpha = PRIOR * (F.col("y1") + F.col("y0"))
+    all_alpha = PRIOR * (t1 + t0)
+    odds = lambda y, t: F.log((F.col(y) + alpha) / (t + all_alpha - F.col(y) - alpha))
+    delta = odds("y1", t1) - odds("y0", t0)
+    z = delta / F.sqrt(1 / (F.col("y1") + alpha) + 1 / (F.col("y0") + alpha))
+    kept = counted.select("feature", delta.alias("score"), F.abs(z).alias("z")).where((F.col("z") >= MIN_Z) & (F.abs("score") > 2 * DRIFT))
+    model.scores = {r["feature"]: r["score"] for r in kept.orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()}
+    _calibrate(model, scratch, texts.where(held) if apart else texts)
+    return model
+
+
+def _calibrate(model: Model, scratch: Scratch, texts: DataFrame) -> None:
+    """The extreme-value rate and k from texts that aren't toxic, and the logistic curve. One pass in Python over the texts; the rest counts its rows."""
 
-def _calibrate(model: Model, texts: DataFrame, n0: int) -> None:
-    """The extreme-value rate from the scores in texts that aren't toxic, and the logistic curve."""
-
-    def hits(batches):
+    def run(batches):
         cache: dict[str, float] = {}
         for batch in batches:
-            toxic, n, found = batch.column(0).to_pylist(), [], []
+            rows = []
             for text in batch.column(1).to_pylist():
-                words = WORD.findall(text.lower())
-                n.append(len(words))
-                found.append([v for w in words if (v := cache.get(w) or cache.setdefault(w, model.word(w))) > 0])
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "n", "hits"])
-
-    bare = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(hits, "toxic int, n long, hits array<double>").where("toxic = 0")
-    words = float(bare.agg(F.sum("n")).first()[0] or 0) + 1.0
-    steps = bare.select(F.explode("hits").alias("v")).groupBy(F.round("v", 1).alias("v")).count().collect()
-    share = {float(r["v"]): (r["count"] + 0.5) / words for r in steps}
-    share.setdefault(max(model.scores.values(), default=1.0), 0.5 / words)
-    rest = max(1e-9, 1 - sum(share.values()))
+                values, found = scored_segments(model, text, cache)
+                steps, counts = np.unique(np.round(values * 10).astype(np.int32), return_counts=True)
+                rows.append((len(values), steps.tolist(), counts.tolist(), [s for *_, s in found]))
+            n, steps, counts, found = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(steps, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "n", "steps", "counts", "found"]
+            )
+
+    seen = scratch.cut(texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "toxic int, n long, steps array<int>, counts array<long>, found array<double>"))
+    bare = seen.where("toxic = 0")
+    share = {r["step"] / 10: float(r["n"]) for r in bare.select(F.explode(F.arrays_zip("steps", "counts")).alias("x")).groupBy(F.col("x.steps").alias("step")).agg(F.sum("x.counts").alias("n")).collect()}
+    words = sum(share.values()) + 1.0
+    share = {v: n / words for v, n in share.items()}
+    top = max([1.0, *model.scores.values()])
+    share[top] = max(share.get(top, 0.0), 0.5 / words)  # a positive score must be possible
     low, high = 1e-6, 50.0  # the rate solves: sum of share * exp(rate * score) = 1
     for _ in range(80):
         mid = (low + high) / 2
-        value = rest * math.exp(-mid * DRIFT) + sum(p * math.exp(min(700.0, mid * v)) for v, p in share.items())
-        low, high = (mid, high) if value < 1 else (low, mid)
+        low, high = (mid, high) if sum(p * math.exp(min(700.0, mid * v)) for v, p in share.items()) < 1 else (low, mid)
     model.rate = low
-    scored = texts.select("h", F.col("toxic").cast("int").alias("toxic"), "text")
-
-    def run(batches):
-        cache: dict[str, float] = {}
-        for batch in batches:
-            values = [evidence(passages(model, t, cache)[1]) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], names=["toxic", "x"])
-
+    # k: what makes the law expect as many segments, of the median score or more, as there are
+    score = F.explode("found").alias("s")
+    middle = bare.select(score).agg(F.percentile("s", F.lit(0.5))).first()[0]
+    if middle is not None:
+        above = bare.select(score).where(F.col("s") >= middle).count()
+        model.k = above * math.exp(min(700.0, model.rate * middle)) / words
+    expected = lambda s: F.lit(model.k) * F.greatest("n", F.lit(1)) * F.exp(-F.least(F.lit(model.rate) * s, F.lit(700.0)))
+    told = F.aggregate("found", F.lit(0.0), lambda total, s: total + F.when(expected(s) < MAX_EXPECTED, -F.log(F.greatest(expected(s), F.lit(1e-300)))).otherwise(0.0))
     # a histogram of the evidence: the curve is fitted on its bins
-    bins = scored.select("toxic", "text").mapInArrow(run, "toxic int, x double").groupBy("toxic", F.least(F.round("x", 0), F.lit(200.0)).alias("x")).count().collect()
+    bins = seen.groupBy("toxic", F.least(F.round(told, 0), F.lit(200.0)).alias("x")).count().collect()
     x = np.array([r["x"] for r in bins]) / 10
     y = np.array([r["toxic"] for r in bins], float)
     w = np.array([r["count"] for r in bins], float)
