@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import lean, small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A vocabulary file is shipped to the executors whole; larger files are refused.
@@ -294,6 +294,7 @@ def encode(docs: DataFrame, path: str, offsets: bool = True) -> DataFrame:
     small_batches(docs.sparkSession)
     shipped = _shipped(docs.sparkSession, path)
 
+    @lean
     def run(batches):
         encoder = _encoder(path, shipped.value)
         for batch in batches:
@@ -316,11 +317,19 @@ def encode(docs: DataFrame, path: str, offsets: bool = True) -> DataFrame:
     return plain.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", offsets array<int>" * offsets)
 
 
+def pieces(encoded: DataFrame) -> DataFrame:
+    """Every column of what decode() gives, and pieces array<string>: the decoded text cut at its offsets, which are the pre-tokens again."""
+    text, n = F.col("decoded").cast("string"), F.size("offsets")
+    to = lambda i: F.when(i + 1 < n, F.get("offsets", i + 1)).otherwise(F.length(text))
+    return encoded.withColumn("pieces", F.transform("offsets", lambda start, i: F.substring(text, start + 1, to(i) - start)))
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Every column of encoded and `decoded`, the bytes that its ids stand for."""
     shipped = _shipped(encoded.sparkSession, path)
     at = encoded.columns.index("ids")
 
+    @lean
     def run(batches):
         table = None
         for batch in batches:
@@ -341,10 +350,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: what encode() and decode() give, as digests."""
-    return decode(encode(docs, path, offsets=False), path).select(
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_pieces: what encode() and decode() give, as digests; n_pieces counts the offsets."""
+    return decode(encode(docs, path), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
+        F.size("offsets").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

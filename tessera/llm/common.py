@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import functools
+import gc
 import string
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,3 +106,21 @@ def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker and its Arrow buffers hold of a text column, unless the session has its own bound."""
     if spark.conf.get(BATCH_KEY) in (BATCH_DEFAULT, "64m", "64MB"):
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a function of a task's batches, giving the memory that it has freed back to the system at its end.
+
+    Python workers are kept for later tasks, of other operators too; what one has grown to would add to what the next needs."""
+
+    @functools.wraps(run)
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
