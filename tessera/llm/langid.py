@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import remainder, sampled, small_batches
+from tessera.llm.common import lean, remainder, sampled, small_batches
 
 #: Labelled documents that the prototypes are fitted on, about; length of the vectors; seed.
 MAX_TRAIN, SIZE, SEED = 20_000, 1024, 20
@@ -123,6 +123,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> dict[str, np.ndarray]:
     """A prototype of length one for each language of docs (text, lang)."""
     train = sampled(docs.where("lang is not null").select("doc_id", "text", "lang"), F.struct("doc_id", F.xxhash64("text")), max_train).select("lang", "text")
 
+    @lean
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -149,6 +150,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     names = list(prototypes)
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, SIZE), np.float32)
 
+    @lean
     def run(batches):
         for batch in batches:
             langs, scores, cosines = [], [], []

@@ -21,12 +21,13 @@ columns are carried along, whatever their names; n_chars, if there, is recounted
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, lean, small_batches
 
 #: Words of a block that is deleted, at least, unless the caller says otherwise: fewer words recur by chance.
 MIN_WORDS = 10
@@ -178,14 +179,23 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], least:
         gone |= fresh
 
 
+def _lines(column: pa.Array) -> Iterator[tuple[list[int], list[int], list[int]]]:
+    """Each row's lines as hashes, numbers of words and positions."""
+    ends, flat = column.offsets.to_numpy().tolist(), column.values
+    at, h, n = (flat.field(name).to_numpy() for name in ("at", "h", "n"))
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield h[a:b].tolist(), n[a:b].tolist(), at[a:b].tolist()
+
+
 def overlaps(seqs: DataFrame, scratch: Scratch, least: int) -> DataFrame:
     """(doc_id, th, e_id, e_th): each document with the first document of each of its seeds, where that is another; distinct."""
 
+    @lean
     def seeds(batches):
         for batch in batches:
             ids, ths, out, each = batch.column(0), batch.column(1), [], []
-            for k, lines in enumerate(batch.column(2).to_pylist()):
-                found = list(set(seed_runs([x["n"] for x in lines], [x["h"] & MASK for x in lines], least).values()))
+            for k, (hashes, words, _) in enumerate(_lines(batch.column(2))):
+                found = list(set(seed_runs(words, [h & MASK for h in hashes], least).values()))
                 out += found
                 each += [k] * len(found)
             take = pa.array(each, pa.int64())
@@ -201,6 +211,7 @@ def overlaps(seqs: DataFrame, scratch: Scratch, least: int) -> DataFrame:
 def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone array<int>): the positions of lines that are deleted, for documents that lose some."""
     scratch = Scratch(docs.sparkSession, "linededup")
+    small_batches(docs.sparkSession)
     seqs = scratch.cut(sequences(docs).distinct())
     pairs = scratch.cut(overlaps(seqs, scratch, least))
     own = seqs.select("doc_id", "th", "lines")
@@ -210,12 +221,13 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     held = held.select("doc_id", "th", "lines", F.col("e_id").alias("p_id"), F.col("e_th").alias("p_th"))
     held = held.join(other, same(F.col("p_id"), F.col("e_id"), F.col("p_th"), F.col("e_th"))).select("doc_id", "th", "lines", "earlier")
 
+    @lean
     def align(batches):
         for batch in batches:
             gone = []
-            for lines, earlier in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                found = common_blocks([x["h"] for x in lines], [x["n"] for x in lines], earlier, least)
-                gone.append([lines[i]["at"] for i in found])
+            for (hashes, words, at), earlier in zip(_lines(batch.column(2)), batch.column(3), strict=True):
+                found = common_blocks(hashes, words, earlier.values.to_numpy().tolist(), least)
+                gone.append([at[i] for i in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "th", "gone"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -8,10 +8,13 @@ similarity s with probability (1 - s**ROWS)**BANDS: 0.00008 at 0.8, less above.
 compared exactly.
 
 A bucket is the keys of one band's value. Up to `PAIRED` keys are all compared. In a larger one each key is compared with
-the key that has the most company in all its buckets (an original among its copies) and with the least key. The keys of a
-bucket that are then outside its largest component are its strays. Strays are compared with all of the bucket where they
-are few; where they are many, some of them are heads and compared with all of it, in rounds, until the strays that are
-left are few. So every pair of a bucket is compared or known to be connected, and a bucket costs its size times its strays.
+the key that has the most company in all its buckets (an original among its copies) and with the least key. Most keys of a
+bucket are then in one component; those that aren't are its strays. The large buckets of one main component are a scope,
+which has a head (of that component's keys the one with the most company). What each key of the scope shares with the
+head and what it has besides, its rest, is found exactly. A stray and another key of the scope can be similar only if
+their rests share a shingle, or if the sizes of shares and rests allow it without; the pairs of both kinds are found by
+joins on the rests' shingles and on the sizes, and compared. So every pair of a bucket is compared, known to be connected,
+or known not to be similar enough, nothing is capped, and a group of copies doesn't cost the square of its size.
 
 Words are split at ASCII white space, A-Z lower-cased. Nulls: a null text is the empty text, and all texts without words are
 copies. A null doc_id counts as no document when the first of a component is named. An empty table gives an empty result.
@@ -27,15 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import simhash
-from tessera.llm.common import Scratch, small_batches
+from tessera.llm.common import Scratch, lean, small_batches
 from tessera.llm.simhash import components
 
 WORDS, LEAST = 5, 0.8
 ROWS, BANDS = 4, 18
 #: Keys of a bucket that are all compared with each other.
 PAIRED = 16
-#: Strays of a bucket that are compared with all of it at once, and heads of a round in a bucket that has more.
-STRAYS, HEADS = 64, 16
 #: Shingles that are hashed at once.
 BLOCK = 1 << 12
 SEED = 42
@@ -87,6 +88,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, th: the text's hash, key: the hash of its words, n: its shingles, fp: its SimHash fingerprint, bands array<long>."""
 
+    @lean
     def run(batches):
         for batch in batches:
             keys, sizes, values, prints = [], [], [], []
@@ -109,6 +111,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): the pairs whose sets are similar enough."""
 
+    @lean
     def run(batches):
         for batch in batches:
             sets: dict[int, np.ndarray] = {}
@@ -136,8 +139,11 @@ def links(marked: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     keys = marked.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     distinct = scratch.cut(keys.select("key", "row.doc_id", "row.th", "n", "fp", "bands"))
     rows = distinct.select("key", "n", F.explode("bands").alias("band"))
-    sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    member = scratch.cut(rows.join(sizes, "band"))
+    one = F.struct("key", "n")
+    buckets = rows.groupBy("band").agg(F.count("*").alias("size"), F.min(one).alias("low"), F.max(one).alias("high")).where("size > 1")
+    buckets = scratch.cut(buckets)
+    two = buckets.where("size = 2").select(F.col("low.key").alias("a"), F.col("low.n").alias("na"), F.col("high.key").alias("b"), F.col("high.n").alias("nb"))
+    member = scratch.cut(rows.join(buckets.where("size > 2").select("band", "size"), "band"))
 
     # one key stands for each fingerprint, as keys of equal fingerprints are candidates of it
     print_ = distinct.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("k"), F.count("*").alias("keys"))
@@ -154,7 +160,7 @@ def links(marked: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     heads = large.join(company, "key").groupBy("band").agg(F.max(F.struct("company", "key", "n")).alias("m"), F.min(F.struct("key", "n")).alias("l"))
     heads = heads.select("band", F.explode(F.array(F.struct("m.key", "m.n"), F.struct("l.key", "l.n"))).alias("h"))
     star = large.join(heads, "band").select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("h.key").alias("b"), F.col("h.n").alias("nb"))
-    tried = scratch.cut(_apart(close.unionByName(star).unionByName(linked).unionByName(same)))
+    tried = scratch.cut(_apart(two.unionByName(close).unionByName(star).unionByName(linked).unionByName(same)))
 
     wanted = tried.select("a").union(tried.select("b")).union(large.select("key")).distinct()
     first = distinct.join(wanted, F.col("key") == F.col("a"), "left_semi").select("key", F.col("doc_id").alias("d"), F.col("th").alias("h"))
@@ -162,25 +168,61 @@ def links(marked: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = scratch.cut(texts.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).select("key", "text").dropDuplicates(["key"]))
     edges = scratch.cut(compared(tried, texts))
     roots = components(edges, scratch)
-    used = large.select("band", F.col("key").alias("used")).limit(0)
-    while True:
-        rooted = scratch.cut(large.join(roots, F.col("key") == F.col("node"), "left").select("band", "key", "n", F.coalesce("root", "key").alias("root")))
-        each = rooted.groupBy("band", "root").agg(F.count("*").alias("held"))
-        most = each.groupBy("band").agg(F.max(F.struct("held", "root")).alias("m"), F.sum("held").alias("size")).where("size > m.held")
-        stray = rooted.join(most.select("band", F.col("m.root").alias("main"), (F.col("size") - F.col("m.held")).alias("strays")), "band").where("root <> main")
-        stray = stray.join(used, (stray["band"] == used["band"]) & (stray["key"] == used["used"]), "left_anti")
-        order = F.row_number().over(Window.partitionBy("band").orderBy("key"))
-        head = scratch.cut(stray.withColumn("at", order).where((F.col("strays") <= STRAYS) | (F.col("at") <= HEADS)).select("band", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to")))
-        if head.isEmpty():
-            return roots
-        used = scratch.cut(used.union(head.select("band", "b")))
-        more = rooted.select("band", F.col("key").alias("a"), F.col("n").alias("na"), "root").join(head, "band").where("root <> to")
-        more = scratch.cut(_apart(more).join(tried, ["a", "b"], "left_anti"))
-        tried = scratch.cut(tried.unionByName(more))
-        found = scratch.cut(compared(more, texts))
-        if not found.isEmpty():
-            edges = scratch.cut(edges.unionByName(found))
-            roots = components(edges, scratch)
+    rooted = scratch.cut(large.join(roots, F.col("key") == F.col("node"), "left").select("band", "key", "n", F.coalesce("root", "key").alias("root")))
+    each = rooted.groupBy("band", "root").agg(F.count("*").alias("held"))
+    main = each.groupBy("band").agg(F.max(F.struct("held", "root")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("m.root").alias("main"))
+    mixed = scratch.cut(rooted.join(main, "band"))
+    if mixed.isEmpty():
+        return roots
+    scope = mixed.select("main", "key", "n", "root").distinct()
+    head = scope.where("root = main").join(company, "key").groupBy("main").agg(F.max(F.struct("company", "key")).alias("h")).select("main", F.col("h.key").alias("head"))
+    scope = scratch.cut(shared(scope.join(head, "main"), texts))
+    more = scratch.cut(_strays(scope).join(tried, ["a", "b"], "left_anti"))
+    return components(edges.unionByName(compared(more, texts)), scratch)
+
+
+def shared(scope: DataFrame, texts: DataFrame) -> DataFrame:
+    """(main, key, n, root, both: the number of shingles that the key shares with the head, rest array<long>: those that the head lacks)."""
+
+    @lean
+    def run(batches):
+        for batch in batches:
+            heads: dict[int, np.ndarray] = {}
+            both, rest = [], []
+            for head, x, y in zip(*(batch.column(k).to_pylist() for k in (4, 5, 6)), strict=True):
+                if head not in heads:
+                    heads = {head: shingles(split(y))}
+                mine = shingles(split(x))
+                known = np.isin(mine, heads[head], assume_unique=True)
+                both.append(int(known.sum()))
+                rest.append(mine[~known].view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(both, pa.int64()), pa.array(rest, pa.list_(pa.int64()))], names=["main", "key", "n", "root", "both", "rest"])
+
+    one = texts.select("key", F.col("text").alias("x"))
+    two = texts.select(F.col("key").alias("head"), F.col("text").alias("y"))
+    rows = scope.join(one.hint("merge"), "key").join(two.hint("merge"), "head").select("main", "key", "n", "root", "head", "x", "y")
+    return rows.mapInArrow(run, "main long, key long, n long, root long, both long, rest array<long>")
+
+
+def _strays(scope: DataFrame) -> DataFrame:
+    """(a, b), a < b, distinct: the pairs of a stray and a key of its scope in another component that may be similar enough.
+
+    Similar sets share LEAST / (1 + LEAST) of their sizes' sum; what the smaller share falls short of that, their rests must
+    share. Two that may lack nothing are found by sizes. Others share one of the rarest shingles of each rest, so many of them
+    that what the rests must share doesn't fit into the others."""
+    own = scope.select("main", F.col("key").alias("a"), F.col("n").alias("na"), "root", F.col("both").alias("ia"))
+    stray = scope.where("root <> main").select("main", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to"), F.col("both").alias("ib"))
+    lack = F.ceil((F.col("na") + F.col("nb")) * (LEAST / (1 + LEAST)) - 1e-6) - F.least("ia", "ib")
+    by_size = own.join(stray, "main").where((F.col("root") != F.col("to")) & (lack <= 0))
+    each = scope.select("main", "key", "n", "root", "both", F.explode("rest").alias("shingle"))
+    held = each.groupBy("main", "shingle").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("main", "key").orderBy("held", "shingle")
+    ranked = each.join(held, ["main", "shingle"]).withColumn("at", F.row_number().over(order)).where("held > 1")
+    one = ranked.select("main", "shingle", F.col("key").alias("a"), F.col("n").alias("na"), "root", F.col("both").alias("ia"), F.col("at").alias("at_a"))
+    two = ranked.where("root <> main").select("main", "shingle", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to"), F.col("both").alias("ib"), F.col("at").alias("at_b"))
+    early = (F.col("at_a") <= F.col("na") - F.col("ia") - lack + 1) & (F.col("at_b") <= F.col("nb") - F.col("ib") - lack + 1)
+    by_rest = one.join(two, ["main", "shingle"]).where((F.col("root") != F.col("to")) & (lack > 0) & early)
+    return _apart(by_rest.select("a", "na", "b", "nb").unionByName(by_size.select("a", "na", "b", "nb")))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, small_batches
+from tessera.llm.common import Scratch, lean, small_batches
 
 SEED, WORDS, RADIUS = 42, 3, 2
 #: Shards of more fingerprints are split by the bits that remain.
@@ -63,6 +63,7 @@ def fingerprint(text: str | None) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp long: the fingerprint's 64 bits as a signed number."""
 
+    @lean
     def run(batches):
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
@@ -189,6 +190,7 @@ def shards(distinct: DataFrame, scratch: Scratch, split: int = SPLIT) -> DataFra
 def links(sharded: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): a fingerprint and its representative in a shard, where they differ."""
 
+    @lean
     def run(batches):
         held: list[np.ndarray] = []
 

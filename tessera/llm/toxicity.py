@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, remainder, sampled, small_batches
+from tessera.llm.common import Scratch, lean, remainder, sampled, small_batches
 
 #: Labelled rows that the classifier is fitted on, and features that it keeps: its bound in memory.
 MAX_TRAIN, MAX_FEATURES = 20_000, 200_000
@@ -175,6 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
 def _calibrate(model: Model, scratch: Scratch, texts: DataFrame) -> None:
     """The extreme-value rate and k from texts that aren't toxic, and the logistic curve. One pass in Python over the texts; the rest counts its rows."""
 
+    @lean
     def run(batches):
         cache: dict[str, float] = {}
         for batch in batches:
@@ -232,6 +233,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES features
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
+    @lean
     def run(batches):
         cache: dict[str, float] = {}
         for batch in batches:
@@ -257,10 +259,14 @@ def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
-    @F.pandas_udf("boolean")
-    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @lean
+    def judged(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[str, float] = {}
         for part in texts:
             yield pd.Series([shipped.value.probability(evidence(passages(shipped.value, t, cache)[1])) < 0.5 for t in part], dtype=bool)
 
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return judged(texts)
+
     return docs.where(clean(F.col("text")))

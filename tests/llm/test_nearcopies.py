@@ -73,10 +73,8 @@ def test_rows_of_one_id_are_told_apart(spark):
 
 
 def test_strays_of_large_buckets(spark, monkeypatch):
-    """Chains of copies, each near to the next only, with so few comparisons at once that rounds are needed."""
+    """Chains of copies, each near to the next only, so that most aren't near to a bucket's two heads."""
     monkeypatch.setattr(nearcopies, "PAIRED", 2)
-    monkeypatch.setattr(nearcopies, "STRAYS", 3)
-    monkeypatch.setattr(nearcopies, "HEADS", 2)
     rng = random.Random(6)
     rows, now = [], text(rng, 200)
     for i in range(40):
