@@ -133,6 +133,7 @@ APPENDIX_PREFIX = "부록-"
 SCOPE_HEADING = "이 감사기준서의 범위"
 DEFINITIONS_APPENDIX = ("1200", "보론 1")
 TOC_NOISE = ["목차", "문단번호"]
+DEFAULT_COLLECTION = "audit_standards"
 COLLECTION_BY_STANDARD = {
     "ISQM-1": "audit_standards_품질관리기준서_2018",
     "ASSR-3000": "audit_standards_기타인증업무기준_2022",

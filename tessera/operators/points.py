@@ -1,12 +1,15 @@
 """The point store: embeddings through a cache, points with payloads, merging, drift and pruning.
 
-Tables are Parquet, partitioned by what queries filter on; a write goes to a new folder that then takes the old one's
-place, and there is one writer at a time.
+Tables are Parquet, partitioned by what queries filter on. A collection is a row of segments: a write adds one, which holds
+all points of the standards that it touches, and takes effect with the marker of its list of standards; so a writer that
+dies leaves what was there, and what isn't touched isn't rewritten. There is one writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from urllib import error, request
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,6 +50,29 @@ def hash_client(dim: int = DIM) -> Client:
     return call
 
 
+def posted(url: str, key: str | None, body: dict, timeout: float = 60.0) -> dict:
+    """A JSON service's answer; refused credentials raise AuthError."""
+    head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+    try:
+        with request.urlopen(request.Request(url, json.dumps(body).encode(), head), timeout=timeout) as answer:
+            return json.load(answer)
+    except error.HTTPError as e:
+        if e.code in (401, 403):
+            raise AuthError(f"[AUTH] {e.code} from {url}") from e
+        raise
+
+
+def service_client(url: str, key: str | None = None, timeout: float = 60.0) -> Client:
+    """A client of an embedding service: POST {model, input: texts} gives {data: [{index, embedding}], usage: {total_tokens}}."""
+
+    def call(texts: list[str], model: str) -> tuple[list[list[float]], int | None]:
+        answer = posted(url, key, {"model": model, "input": texts}, timeout)
+        rows = sorted(answer["data"], key=lambda r: r["index"])
+        return [r["embedding"] for r in rows], (answer.get("usage") or {}).get("total_tokens")
+
+    return call
+
+
 def requested(texts: DataFrame, cache: DataFrame | None, tokens: TokenCount = estimated_tokens, limit: int = HARD_LIMIT) -> tuple[DataFrame, DataFrame]:
     """texts (role, text, ..) with model, cache_key and tiktoken_tokens; and the distinct ones that the cache lacks. A text over the limit raises."""
     n = tokens(F.col("text"))
@@ -125,7 +151,7 @@ def prorated(items: DataFrame, keys: list[str], total: str, share: str, out: str
 
 
 def packed_vector(vector: Column) -> Column:
-    """float32, the store's type; raises unless the length is DIM."""
+    """A vector as float32, the store's type."""
     return vector.cast("array<float>")
 
 
@@ -195,11 +221,23 @@ def merged(old: DataFrame, new: DataFrame, prune: bool = True) -> DataFrame:
     kept = old.join(new.select("point_id"), "point_id", "left_anti")
     if prune:
         kept = kept.join(new.select("standard_id").distinct(), "standard_id", "left_anti")
-    return kept.unionByName(new.dropDuplicates(["point_id"]), allowMissingColumns=True)
+    return kept.unionByName(one_each(new, "point_id"), allowMissingColumns=True)
+
+
+def one_each(rows: DataFrame, key: str) -> DataFrame:
+    """A row for each key: of several the greatest by all columns that have an order, so that a repeated run takes the same."""
+    if not _orderable(rows):
+        return rows.dropDuplicates([key])
+    return rows.groupBy(key).agg(F.max(F.struct(*[c for c in rows.columns if c != key])).alias("row__")).select(key, "row__.*").select(*rows.columns)
 
 
 class PointStore:
-    """Collections of points as Parquet below a root, a folder each, partitioned by standard."""
+    """Collections of points below a root: COLLECTION/seg-N/points, partitioned by standard, and COLLECTION/seg-N/standards, the standards that the segment holds whole.
+
+    A segment is there once its list of standards is. A standard's points are those of its last segment."""
+
+    #: Segments above which a write rewrites all into one.
+    SEGMENTS = 20
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -211,41 +249,74 @@ class PointStore:
     def path(self, collection: str) -> str:
         return f"{self.root}/{collection}"
 
+    def segments(self, collection: str) -> list[int]:
+        here, fs = self._fs(self.path(collection))
+        if not fs.exists(here):
+            return []
+        names = [x.getPath().getName() for x in fs.listStatus(here)]
+        return sorted(int(n[4:]) for n in names if n.startswith("seg-") and fs.exists(self._fs(f"{self.path(collection)}/{n}/standards/_SUCCESS")[0]))
+
     def exists(self, collection: str) -> bool:
-        p, fs = self._fs(self.path(collection))
-        return fs.exists(p)
+        return bool(self.segments(collection))
 
     def ensure(self, collection: str, schema) -> None:
+        """An empty collection, unless it is there."""
         if not self.exists(collection):
-            self.spark.createDataFrame([], schema).write.partitionBy("standard_id").parquet(self.path(collection))
+            self._add(collection, self.spark.createDataFrame([], schema), self.spark.createDataFrame([], "standard_id string"))
+
+    def _add(self, collection: str, points: DataFrame, standards: DataFrame, alone: bool = False) -> None:
+        """A new segment with the points of standards; alone: the segments before it go."""
+        before = self.segments(collection)
+        at = f"{self.path(collection)}/seg-{max(before, default=0) + 1:08d}"
+        points.write.mode("overwrite").partitionBy("standard_id").parquet(f"{at}/points")
+        there, fs = self._fs(f"{at}/points")
+        if not any(x.isDirectory() for x in fs.listStatus(there)):  # without points there is no file; one without rows has the columns
+            self.spark.createDataFrame([], points.schema).write.mode("overwrite").parquet(f"{at}/points")
+        standards.select("standard_id").distinct().coalesce(1).write.mode("overwrite").parquet(f"{at}/standards")
+        for n in before if alone else ():
+            p, fs = self._fs(f"{self.path(collection)}/seg-{n:08d}")
+            fs.delete(p, True)
 
     def read(self, collection: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(collection))
+        """The points of a collection. Each standard is looked up in its last segment; the list of standards is small and goes by broadcast."""
+        numbers = self.segments(collection)
+        if not numbers:
+            raise ValueError(f"[COLLECTION] none: {collection}")
+        at = lambda n, part: self.spark.read.parquet(f"{self.path(collection)}/seg-{n:08d}/{part}")
+        typed = lambda n: at(n, "points").withColumn("standard_id", F.col("standard_id").cast("string"))
+        if len(numbers) == 1:
+            return typed(numbers[0])
+        parts, owners = None, None
+        for n in numbers:
+            part, owner = typed(n).withColumn("segment__", F.lit(n)), at(n, "standards").withColumn("segment__", F.lit(n))
+            parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
+            owners = owner if owners is None else owners.unionByName(owner)
+        last = owners.groupBy("standard_id").agg(F.max("segment__").alias("segment__"))
+        return parts.join(F.broadcast(last), ["standard_id", "segment__"], "left_semi").drop("segment__")
 
     def replace(self, collection: str, points: DataFrame) -> None:
-        """Written beside the old table, then put in its place."""
-        new, old = f"{self.path(collection)}.new", f"{self.path(collection)}.old"
-        points.write.mode("overwrite").partitionBy("standard_id").parquet(new)
-        here, fs = self._fs(self.path(collection))
-        there, _ = self._fs(old)
-        fs.delete(there, True)
-        if fs.exists(here):
-            fs.rename(here, there)
-        fs.rename(self._fs(new)[0], here)
-        fs.delete(there, True)
+        """The collection becomes points; what was there stays until they are written."""
+        self._add(collection, points, points, alone=True)
 
     def drop(self, collection: str) -> None:
         p, fs = self._fs(self.path(collection))
         fs.delete(p, True)
 
     def upsert(self, collection: str, new: DataFrame, prune: bool = True) -> dict[str, int]:
-        """Merges new's points; the counts of what was written, changed in content and pruned. Writing the same again changes nothing."""
+        """Merges new's points; the counts of what was written, changed in content and pruned. Writing the same again changes nothing.
+
+        Only the standards of new, and those that its points were in, are rewritten. new is read several times: a written table, or one that is persisted."""
+        points = new.select("point_id").distinct().count()
         if not self.exists(collection):
-            self.replace(collection, new.dropDuplicates(["point_id"]))
-            return {"points": new.select("point_id").distinct().count(), "drift": 0, "pruned": 0}
+            self.replace(collection, one_each(new, "point_id"))
+            return {"points": points, "drift": 0, "pruned": 0}
         old = self.read(collection)
-        told = {"points": new.select("point_id").distinct().count(), "drift": drift(old, new).count(), "pruned": stale(old, new).count() if prune else 0}
-        self.replace(collection, merged(old, new, prune))
+        touched = new.select("standard_id").union(old.join(new.select("point_id"), "point_id", "left_semi").select("standard_id")).distinct()
+        told = {"points": points, "drift": drift(old, new).count(), "pruned": stale(old, new).count() if prune else 0}
+        if len(self.segments(collection)) >= self.SEGMENTS:
+            self.replace(collection, merged(old, new, prune))
+        else:
+            self._add(collection, merged(old.join(F.broadcast(touched), "standard_id", "left_semi"), new, prune), touched)
         return told
 
     def count(self, collection: str, where: Column | None = None) -> int:
@@ -276,6 +347,7 @@ class EmbeddingCache:
 
     def read(self) -> DataFrame:
         """The rows; none if there is no table or if it can't be read."""
+        self._recovered()
         here, fs = self.store._fs(self.path)
         if fs.exists(here):
             try:
@@ -287,18 +359,35 @@ class EmbeddingCache:
                 fs.rename(here, self.store._fs(f"{self.path}.corrupt.{stamp}")[0])
         return self.spark.createDataFrame([], CACHE_SCHEMA)
 
-    def add(self, rows: DataFrame) -> None:
-        """Adds rows; a key that is there already is replaced. New rows alone are appended, without rewriting the table."""
-        fresh = rows.select(*[c.split(" ")[0] for c in CACHE_SCHEMA.split(", ")])
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Adds rows, which are read once, and gives them as they are stored; a key that is there already is replaced. New rows alone are appended, without rewriting the table."""
+        columns = [c.split(" ")[0] for c in CACHE_SCHEMA.split(", ")]
+        staged = f"{self.path}.staged"
+        rows.select(*columns).write.mode("overwrite").parquet(staged)
+        fresh = self.spark.read.schema(CACHE_SCHEMA).parquet(staged)
+        fresh = one_each(fresh, "cache_key")
         old = self.read()
         if old.join(fresh.select("cache_key"), "cache_key", "left_semi").isEmpty():
-            fresh.dropDuplicates(["cache_key"]).write.mode("append").partitionBy("role").parquet(self.path)
-            return
-        new = f"{self.path}.new"
-        upserted(old, fresh, "cache_key").select(*fresh.columns).write.mode("overwrite").partitionBy("role").parquet(new)
+            fresh.write.mode("append").partitionBy("role").parquet(self.path)
+            return fresh
+        upserted(old, fresh, "cache_key").select(*columns).write.mode("overwrite").partitionBy("role").parquet(f"{self.path}.next")
+        here, fs = self.store._fs(self.path)
+        before, _ = self.store._fs(f"{self.path}.before")
+        fs.delete(before, True)
+        fs.rename(here, before)
+        fs.rename(self.store._fs(f"{self.path}.next")[0], here)
+        fs.delete(before, True)
+        return fresh
+
+    def _recovered(self) -> None:
+        """Where a writer died between two renames, the table that it had written, or else the one before, takes its place."""
         here, fs = self.store._fs(self.path)
-        fs.delete(here, True)
-        fs.rename(self.store._fs(new)[0], here)
+        if not fs.exists(here):
+            for name in ("next", "before"):
+                there, _ = self.store._fs(f"{self.path}.{name}")
+                if fs.exists(self.store._fs(f"{self.path}.{name}/_SUCCESS")[0]):
+                    fs.rename(there, here)
+                    return
 
     def get(self, role: str, texts: DataFrame) -> DataFrame:
         """The cached rows of texts (text) in a role."""

@@ -16,16 +16,17 @@ SENTENCE = r"(?<=[.!?。!?])\s+|(?<=[다요]\.)\s+|(?<=까\?)\s+"
 def packed(costs: Column, limit: Column | int, start: Column | int = 0) -> Column:
     """ARRAY<INT>: the bucket of each item, filled in order; an item that would pass the limit opens the next, unless the bucket is empty.
 
-    start is what every bucket costs by itself. The fold is per row, as where a bucket ends depends on the sum that it resets."""
+    start is what every bucket costs by itself. The fold is per row, as where a bucket ends depends on the sum that it resets; it keeps the buckets' sizes, not a place for each item."""
     limit, start = (x if isinstance(x, Column) else F.lit(x) for x in (limit, start))
-    zero = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("bucket"), start.cast("long").alias("sum"), F.lit(0).alias("n"))
+    zero = F.struct(F.array().cast("array<int>").alias("sizes"), start.cast("long").alias("sum"), F.lit(0).alias("n"))
 
     def step(s: Column, cost: Column) -> Column:
         opens = (s["sum"] + cost > limit) & (s["n"] > 0)
-        bucket = F.when(opens, s["bucket"] + 1).otherwise(s["bucket"])
-        return F.struct(F.concat(s["out"], F.array(bucket)).alias("out"), bucket.alias("bucket"), (F.when(opens, start.cast("long")).otherwise(s["sum"]) + cost).alias("sum"), F.when(opens, 1).otherwise(s["n"] + 1).alias("n"))
+        sizes = F.when(opens, F.concat(s["sizes"], F.array(s["n"]))).otherwise(s["sizes"])
+        return F.struct(sizes.alias("sizes"), (F.when(opens, start.cast("long")).otherwise(s["sum"]) + cost).alias("sum"), F.when(opens, 1).otherwise(s["n"] + 1).alias("n"))
 
-    return F.aggregate(costs, zero, step, lambda s: s["out"])
+    dealt = lambda s: F.flatten(F.transform(F.concat(s["sizes"], F.array(s["n"])), lambda n, bucket: F.array_repeat(bucket, n)))
+    return F.aggregate(costs, zero, step, dealt)
 
 
 def paragraphs(text: Column) -> Column:

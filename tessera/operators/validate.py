@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import nearest_rank, presence
@@ -11,6 +11,18 @@ from tessera.functions.columns import nearest_rank, presence
 OLD_VERSION, NEW_VERSION = "1.1.2", "1.2.0"
 
 
+def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The last row, by order, of each key: how a dimension is built whose names may stand several times. One grouping, reduced before the shuffle."""
+    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), order).alias("row__"))
+    return found.select("row__.*")
+
+
+def earliest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The first row, by order, of each key."""
+    found = rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), order).alias("row__"))
+    return found.select("row__.*")
+
+
 def distributions(rows: DataFrame, columns: list[str]) -> DataFrame:
     """(name, value, n) of each column's values, nulls as a value of their own: one pass over the rows, one shuffle."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns)))
@@ -22,12 +34,13 @@ def token_stats(rows: DataFrame, value: str = "token_estimate") -> DataFrame:
 
     The values are counted by value first, so what comes together is the distinct values with running counts, not the rows."""
     counts = rows.groupBy(F.col(value).cast("long").alias("v")).agg(F.count("*").alias("n")).where("v is not null")
-    held = counts.agg(F.sum("n").alias("count"), F.min("v").alias("min"), F.max("v").alias("max"), F.sum(F.col("v") * F.col("n")).alias("sum"), F.sort_array(F.collect_list(F.struct("v", "n"))).alias("hist"))
-    running = F.aggregate("hist", F.struct(F.array().cast("array<struct<v:bigint,upto:bigint>>").alias("a"), F.lit(0).cast("bigint").alias("s")), lambda acc, x: F.struct(F.concat(acc["a"], F.array(F.struct(x["v"].alias("v"), (acc["s"] + x["n"]).alias("upto")))).alias("a"), (acc["s"] + x["n"]).alias("s")), lambda acc: acc["a"])
+    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.min("v").alias("min"), F.max("v").alias("max"), F.sum(F.col("v") * F.col("n")).alias("sum"))
+    running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")))  # a row for each distinct value
     at = lambda p: F.bround((F.col("count") - 1) * F.lit(float(p)) / 100.0).cast("long")
-    pick = lambda p: F.coalesce(F.get(F.filter("upto", lambda x: x["upto"] > at(p)), F.lit(0))["v"], F.lit(0))
-    out = held.withColumn("upto", running)
-    return out.select(F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("min", F.lit(0)).alias("min"), F.coalesce("max", F.lit(0)).alias("max"), F.coalesce(F.floor(F.col("sum") / F.col("count")), F.lit(0)).alias("mean"), pick(50).alias("p50"), pick(95).alias("p95"), pick(99).alias("p99"))
+    pick = lambda p: F.coalesce(F.min(F.when(F.col("upto") > at(p), F.col("v"))), F.lit(0)).alias(f"p{p}")
+    zero = lambda c: F.coalesce(F.first(c), F.lit(0)).alias(c)
+    every = whole.join(running, F.lit(True), "left").groupBy("count").agg(zero("min"), zero("max"), F.coalesce(F.floor(F.first("sum") / F.greatest(F.first("count"), F.lit(1))), F.lit(0)).alias("mean"), pick(50), pick(95), pick(99))
+    return every.select("count", "min", "max", "mean", "p50", "p95", "p99")
 
 
 def suffixed(chunks: DataFrame) -> DataFrame:
@@ -57,6 +70,18 @@ def missing(wanted: DataFrame, there: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).distinct().join(there.select(key), key, "left_anti")
 
 
+def missing_fields(rows: DataFrame, expected: dict[str, str]) -> list[str]:
+    """Names of columns that rows lack or have in another type than expected, in order: what a written table is checked for."""
+    there = dict(rows.dtypes)
+    return sorted(name for name, kind in expected.items() if there.get(name) != kind)
+
+
+def missing_members(rows: DataFrame, expected: str, actual: str, out: str = "lacking") -> DataFrame:
+    """rows with what an array of expected names has and an array of actual ones lacks, sorted; null counts as none."""
+    none = F.array().cast("array<string>")
+    return rows.withColumn(out, F.array_sort(F.array_except(F.coalesce(expected, none), F.coalesce(actual, none))))
+
+
 def same_set(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_distinct(a)) == F.array_sort(F.array_distinct(b))
 

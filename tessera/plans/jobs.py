@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import TokenCount, estimated_tokens
-from tessera.model.profiles import COLLECTION_BY_STANDARD, PROFILES, collection_of
+from tessera.model.profiles import COLLECTION_BY_STANDARD, DEFAULT_COLLECTION, PROFILES, collection_of
 from tessera.operators import chunks as C
-from tessera.operators import evaluate, search
+from tessera.operators import evaluate, search, validate
 from tessera.operators import points as P
 from tessera.operators.numbering import unknown_ratio
 from tessera.operators.render import files, write_files
@@ -53,29 +54,61 @@ def parsed(spark: SparkSession, folder: str, family: str, tokens: TokenCount = e
     return standards.drop("body", "file_name"), made, C.links(made), C.summaries(raw)
 
 
-def ingest(spark: SparkSession, folder: str, family: str, store: P.PointStore | None = None, client: P.Client | None = None, cache: DataFrame | None = None, dim: int = P.DIM, default_collection: str = "audit_standards") -> DataFrame:
-    """Documents of the family's Markdown files; with a store and a client also their points, embedded through the cache and merged, a collection at a time."""
+def ingest(
+    spark: SparkSession, folder: str, family: str, store: P.PointStore | None = None, client: P.Client | None = None, cache: P.EmbeddingCache | None = None, dim: int = P.DIM,
+    default_collection: str = DEFAULT_COLLECTION, batch: int = P.BATCH, dry_run: bool = False, prune: bool = True, told: list | None = None,
+) -> DataFrame:
+    """Documents of the family's Markdown files; with a store and a client also their points, embedded through the cache and merged, a collection at a time.
+
+    Only texts that the cache lacks are sent, once: their vectors are written to the cache before points are made of it.
+    Without a cache of the caller's there is one beside the store. A dry run fills the cache and writes no point. told, if given,
+    gets a dict of counts for each collection."""
     standards, chunks, links, summaries = parsed(spark, folder, family)
     made = documents.nested(standards, chunks, links, summaries)
-    if store is not None and client is not None:
-        points = P.chunk_points(chunks, standards).unionByName(P.summary_points(standards, summaries))
+    if store is None or client is None:
+        return made
+    cache = cache or P.EmbeddingCache(spark, f"{store.root}/_embeddings")
+    points = P.chunk_points(chunks, standards).unionByName(P.summary_points(standards, summaries)).persist()
+    try:
         text = F.when(F.col("vector_role") == "summary", P.truncated(F.col("content_text"))).otherwise(F.col("content_text"))
-        _, wanted = P.requested(points.select(F.lit("passage").alias("role"), text.alias("text")), cache)
-        fresh = P.embedded(wanted, client, dim)
-        whole = fresh if cache is None else cache.unionByName(fresh)
-        vectors = P.with_vectors(points, whole).withColumn("collection", collection_of(F.col("standard_id"), default_collection))
+        _, wanted = P.requested(points.select(F.lit("passage").alias("role"), text.alias("text")), cache.read())
+        cache.add(P.embedded(wanted, client, dim, batch))
+        if dry_run:
+            return made
+        vectors = P.with_vectors(points, cache.read()).withColumn("collection", collection_of(F.col("standard_id"), default_collection)).persist()
         for row in vectors.select("collection").distinct().collect():  # a few named collections
-            store.upsert(row["collection"], vectors.where(F.col("collection") == row["collection"]).drop("collection"))
+            counts = store.upsert(row["collection"], vectors.where(F.col("collection") == row["collection"]).drop("collection"), prune)
+            if told is not None:
+                told.append({"collection": row["collection"], **counts})
+        vectors.unpersist()
+    finally:
+        points.unpersist()
     return made
 
 
+def ingest_all(spark: SparkSession, folder: str, store: P.PointStore, client: P.Client, families: list[str] | None = None, out: str | None = None, **options) -> DataFrame:
+    """Ingests families of a folder one after another, goes on where one fails, and gives a row for each: (family, points, drift, pruned, failed, reason, elapsed). out: a folder for the JSON documents."""
+    rows = []
+    for family in families or list(PROFILES):
+        began, told, reason = time.time(), [], None
+        try:
+            made = ingest(spark, folder, family, store, client, told=told, **options)
+            if out is not None:
+                documents.write_documents(made, f"{out}/{family}")
+        except Exception as e:  # one family's fault doesn't stop the others; it is told in the row
+            reason = str(e).splitlines()[0][:300]
+        total = lambda k: sum(t[k] for t in told)  # noqa: B023, E731
+        rows.append((family, total("points"), total("drift"), total("pruned"), int(reason is not None), reason, round(time.time() - began, 3)))
+    return spark.createDataFrame(rows, "family string, points long, drift long, pruned long, failed int, reason string, elapsed double")
+
+
 def run_metrics(results: DataFrame) -> DataFrame:
     """One row of totals over runs (standard_id, points, failed, drift, pruned, elapsed)."""
     return results.agg(F.count("*").alias("standards"), F.sum("points").alias("points"), F.count(F.when(F.col("failed") > 0, 1)).alias("failed_standards"), F.sum("drift").alias("drift"), F.sum("pruned").alias("pruned"), F.round(F.sum("elapsed"), 3).alias("elapsed"))
 
 
 #: Settings of an ingest that need its points to be written, with their defaults.
-UPSERT_OPTIONS = {"collection": "audit_standards", "batch_size": P.BATCH, "store": None, "client": None, "cache": None, "metrics_out": None, "dry_run": False, "prune_stale": False}
+UPSERT_OPTIONS = {"collection": DEFAULT_COLLECTION, "batch_size": P.BATCH, "store": None, "client": None, "cache": None, "metrics_out": None, "dry_run": False, "prune_stale": False}
 
 
 def check_options(upsert: bool, **options) -> None:
@@ -142,3 +175,20 @@ def answer(queries: DataFrame, points: DataFrame, client: P.Client, model: Calla
     passages = search.reranked(search.top(near, ["query_id", "standard_id"], k).drop("rank"))
     rows = search.context(asked.select("query_id", "query_text"), standards, passages).join(asked.select("query_id", "query_text"), "query_id")
     return [{"query_id": r["query_id"], "context": r["context"], "answer": model(r["query_text"], r["context"]) if model else None} for r in rows.collect()]
+
+
+def service_answer(url: str, key: str | None = None, model: str = "answer", system: str = "") -> Callable[[str, str], str]:
+    """A model for answer() behind a chat service: POST {model, messages} gives {choices: [{message: {content}}]}."""
+
+    def call(question: str, context: str) -> str:
+        messages = ([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": f"{context}\n\n{question}"}]
+        return P.posted(url, key, {"model": model, "messages": messages})["choices"][0]["message"]["content"]
+
+    return call
+
+
+def migrate(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """JSON documents of a folder at the schema's new version, written to out; (file's standard, outcome) of each."""
+    made = validate.migrated(documents.read_documents(spark, folder)).persist()
+    documents.write_documents(made.drop("outcome"), out)
+    return made.select(F.col("standard.standard_id").alias("standard_id"), "outcome")

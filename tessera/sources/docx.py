@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from tessera.functions.columns import item_label, kind_of_style, strip, without_reference
 from tessera.model.profiles import APPENDIX_STYLE, TABLE_HEADERS, TABLE_SECTIONS, TABLE_SUBSECTIONS, TOC_STYLES
+from tessera.operators.validate import latest
 
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 MAX_DEPTH = 10
@@ -28,9 +29,9 @@ MAX_DEPTH = 10
 FORMATS = ["decimal", "lowerLetter", "lowerRoman", "upperLetter", "upperRoman", "bullet"]
 SCHEMAS = {
     "body": "source_file string, pos int, is_table boolean, text string, style_id string, p_num_id string, p_ilvl int, table_cells array<array<string>>, body_rows array<struct<cells:int,label:string,paragraphs:array<string>>>",
-    "styles": "source_file string, style_id string, name string, based_on string, num_id string, ilvl int",
-    "nums": "source_file string, num_id string, abstract_id string, overrides map<int,int>",
-    "levels": "source_file string, abstract_id string, ilvl int, lvl_text string, num_fmt string, start int, suff string",
+    "styles": "source_file string, pos int, style_id string, name string, based_on string, num_id string, ilvl int",
+    "nums": "source_file string, pos int, num_id string, abstract_id string, overrides map<int,int>",
+    "levels": "source_file string, pos int, abstract_id string, ilvl int, lvl_text string, num_fmt string, start int, suff string",
 }
 
 
@@ -143,12 +144,23 @@ def _body(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
                 pos += 1
 
 
+def _placed(make):
+    """make's rows with their position in the part behind the file's name."""
+
+    def rows(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
+        yield from ((name, pos, *row[1:]) for pos, row in enumerate(make(root, name, descend)))
+
+    return rows
+
+
+@_placed
 def _styles(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
     for style in root.findall(W + "style"):
         if (found := style.get(W + "styleId")) is not None:
             yield name, found, value_at(style, "name"), value_at(style, "basedOn"), value_at(style, "pPr", "numPr", "numId"), whole(value_at(style, "pPr", "numPr", "ilvl"))
 
 
+@_placed
 def _nums(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
     for num in root.iter(W + "num"):
         found, abstract = num.get(W + "numId"), value_at(num, "abstractNumId")
@@ -157,6 +169,7 @@ def _nums(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
             yield name, found, abstract, list({k: v for k, v in starts if k is not None and v is not None}.items())
 
 
+@_placed
 def _levels(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
     for abstract in root.iter(W + "abstractNum"):
         found = abstract.get(W + "abstractNumId")
@@ -167,8 +180,12 @@ def _levels(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
                 yield name, found, ilvl, value_at(lvl, "lvlText") or "", fmt if fmt in FORMATS else "decimal", 1 if start is None else start, value_at(lvl, "suff")
 
 
-def read_docx(spark: SparkSession, path: str, part: str = "body", descend: bool = False) -> DataFrame:
-    """A part of the files below a path, in any store that Spark reads; each file is parsed by one task."""
+#: What names a row of a dimension in its file.
+KEYS = {"styles": ["style_id"], "nums": ["num_id"], "levels": ["abstract_id", "ilvl"]}
+
+
+def parsed(files: DataFrame, part: str = "body", descend: bool = False) -> DataFrame:
+    """A part of files (name, content); each file is parsed by one task. Of a style, list or level that stands several times the last row stays."""
     schema = StructType.fromDDL(SCHEMAS[part])
 
     def run(batches):
@@ -179,8 +196,14 @@ def read_docx(spark: SparkSession, path: str, part: str = "body", descend: bool
                 for at in range(0, len(rows), 1000):
                     yield pa.RecordBatch.from_pylist(rows[at : at + 1000], schema=arrow)
 
+    rows = files.select("name", "content").mapInArrow(run, schema)
+    return latest(rows, ["source_file", *KEYS[part]], "pos").drop("pos") if part in KEYS else rows
+
+
+def read_docx(spark: SparkSession, path: str, part: str = "body", descend: bool = False) -> DataFrame:
+    """A part of the files below a path, in any store that Spark reads."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").mapInArrow(run, schema)
+    return parsed(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), part, descend)
 
 
 def raw_blocks(styled: DataFrame) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.points import PointStore
+from tessera.operators.points import PointStore, one_each
 
 
 def merge_stream(points: DataFrame, store: PointStore, collection: str, checkpoint: str, prune: bool = False) -> StreamingQuery:
     """Starts merging a stream of points, all that is there now, into a collection."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        batch = batch.dropDuplicates(["point_id"]).persist()
+        batch = one_each(batch, "point_id").persist()
         try:
             if not batch.isEmpty():
                 store.upsert(collection, batch, prune)

@@ -101,7 +101,7 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "md" / "ISA-200.md").write_text(body)
     (tmp_path / "md" / "notes.md").write_text("x")
     assert main(["ingest", str(tmp_path / "md"), "--out", str(tmp_path / "json")]) == 0
-    text = next((tmp_path / "json").rglob("*.txt")).read_text()
+    text = (tmp_path / "json" / "ISA-200.json").read_text()
     doc = json.loads(text)
     assert doc["schema_version"] == "1.2.0" and doc["standard"]["standard_title"] == 'a "b"' and [c["content_text"] for c in doc["chunks"]] == ["글", "점"]
     assert list(doc["chunks"][0])[:3] == ["chunk_id", "paragraph_id", "kind"] and doc["chunks"][0]["embedding"] is None
