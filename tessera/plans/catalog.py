@@ -527,12 +527,6 @@ def missing_keys(spark, sf):
 # -- pages --------------------------------------------------------------------------------------------------------------
 
 
-@query(r"""SELECT page_id, CAST(len(regexp_extract_all(html, '<p>([^<]*)</p>', 1)) AS BIGINT) AS paragraphs, CAST(len(regexp_extract_all(html, '<li>([^<]*)</li>', 1)) AS BIGINT) AS items, array_to_string(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1), '|') AS headings, sha256(array_to_string(regexp_extract_all(html, '<p>([^<]*)</p>', 1), '|')) AS text_sha256 FROM pages""")
-def page_blocks(spark, sf):
-    found = lambda tag: F.regexp_extract_all("html", F.lit(f"<{tag}>([^<]*)</{tag}>"), 1)
-    return t(spark, sf, "pages").select("page_id", F.size(found("p")).cast("long").alias("paragraphs"), F.size(found("li")).cast("long").alias("items"), text(found("h1")).alias("headings"), F.sha2(text(found("p")).cast("binary"), 256).alias("text_sha256"))
-
-
 @query("""SELECT page_id, CASE WHEN page_id % 3 = 0 AND trim(url) <> '' THEN 'block_quote' ELSE 'table' END AS kind, CASE WHEN page_id % 3 = 0 THEN trim(url) ELSE '' END AS text FROM pages""")
 def page_table_promote(spark, sf):
     grid = F.when(F.col("page_id") % 3 == 0, F.array(F.array("url"))).otherwise(F.array(F.array("url", "url"), F.array("url", "url")))
