@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructType
 
 from tessera.llm.common import lean, small_batches
 
@@ -289,52 +290,38 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def encode(docs: DataFrame, path: str, offsets: bool = True) -> DataFrame:
-    """doc_id, ids array<int> and, if asked for, offsets array<int>: the code point at which each pre-token begins."""
-    small_batches(docs.sparkSession)
-    shipped = _shipped(docs.sparkSession, path)
+def _encoding(path: str, shipped, offsets: bool):
+    """A function of a task's batches (doc_id, text): doc_id, ids and, if asked for, offsets."""
 
-    @lean
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, shipped.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             at = 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(texts[to]) <= SPAN):
-                    size += len(texts[to])
+            while at < batch.num_rows:
+                texts, size, to = [], 0, at
+                while to < batch.num_rows and (to == at or size <= SPAN):
+                    texts.append(batch.column(1)[to].as_py())
+                    size += len(texts[-1])
                     to += 1
                 ids, places = [], []
-                for i, o in encoder.encode(texts[at:to]):
+                for i, o in encoder.encode(texts):
                     ids.append(np.array(i, np.int32))
                     places.append(o)
                 columns = [batch.column(0).slice(at, to - at), _lists(ids, pa.int32())] + [_lists(places, pa.int32())] * offsets
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "offsets"][: 2 + offsets])
                 at = to
 
-    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return plain.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", offsets array<int>" * offsets)
-
-
-def pieces(encoded: DataFrame) -> DataFrame:
-    """Every column of what decode() gives, and pieces array<string>: the decoded text cut at its offsets, which are the pre-tokens again."""
-    text, n = F.col("decoded").cast("string"), F.size("offsets")
-    to = lambda i: F.when(i + 1 < n, F.get("offsets", i + 1)).otherwise(F.length(text))
-    return encoded.withColumn("pieces", F.transform("offsets", lambda start, i: F.substring(text, start + 1, to(i) - start)))
+    return run
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Every column of encoded and `decoded`, the bytes that its ids stand for."""
-    shipped = _shipped(encoded.sparkSession, path)
-    at = encoded.columns.index("ids")
+def _decoding(shipped, at: int):
+    """A function of a task's batches, of whose columns the one at a place holds ids: the same with decoded."""
 
-    @lean
-    def run(batches):
-        table = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: list[bytes] | None = None
         for batch in batches:
             if table is None:
-                ranks = _encoder(path, shipped.value).ranks
+                ranks = parse_ranks(shipped.value)
                 table = [b""] * (max(ranks.values(), default=-1) + 1)
                 for piece, rank in ranks.items():
                     table[rank] = piece
@@ -344,14 +331,47 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             decoded = [b"".join(map(get, flat[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    from pyspark.sql.types import BinaryType, StructType
+    return run
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def encode(docs: DataFrame, path: str, offsets: bool = True) -> DataFrame:
+    """doc_id, ids array<int> and, if asked for, offsets array<int>: the code point at which each pre-token begins."""
+    run = _encoding(path, _shipped(docs.sparkSession, path), offsets)
+    return _plain(docs).mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", offsets array<int>" * offsets)
+
+
+def pieces(encoded: DataFrame) -> DataFrame:
+    """Every column of what decode() gives, and pieces array<string>: the decoded text cut at its offsets, which are the pre-tokens again."""
+    text, n = F.col("decoded").cast("string"), F.size("offsets")
+    to = lambda i: F.when(i + 1 < n, F.get("offsets", i + 1)).otherwise(F.length(text))
+    return encoded.withColumn("pieces", F.transform("offsets", lambda start, i: F.substring(text, start + 1, to(i) - start)))
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Every column of encoded and `decoded`, the bytes that its ids stand for."""
+    run = _decoding(_shipped(encoded.sparkSession, path), encoded.columns.index("ids"))
+    return encoded.mapInArrow(lean(run), StructType(list(encoded.schema.fields)).add("decoded", BinaryType()))
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, offsets and decoded: encode() and decode() in one worker, so that ids needn't go to the JVM and back."""
+    shipped = _shipped(docs.sparkSession, path)
+    first, second = _encoding(path, shipped, True), _decoding(shipped, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return second(first(batches))
 
-    return encoded.mapInArrow(run, StructType(list(encoded.schema.fields)).add("decoded", BinaryType()))
+    return _plain(docs).mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, offsets array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, n_pieces: what encode() and decode() give, as digests; n_pieces counts the offsets."""
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.size("offsets").cast("long").alias("n_pieces"),
