@@ -27,6 +27,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import Scratch, remainder
 
@@ -183,7 +184,7 @@ def word_counts(docs: DataFrame, scratch: Scratch, shards: int) -> DataFrame:
                 shard = (words % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = [(s, words[o].tobytes(), counts[o].astype(np.int64).tobytes()) for s in range(shards) if len(o := order[ends[s] : ends[s + 1]])]
+                rows = [(s, words[o].tobytes(), counts[o].astype(np.int64).tobytes()) for s in np.unique(shard).tolist() if len(o := order[ends[s] : ends[s + 1]])]
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["shard", "words", "counts"])
 
@@ -263,7 +264,7 @@ def _chunk_rows(chunk: int, ids, texts: list[np.ndarray], train: np.ndarray, cou
     shard, number, document, code = shard[~often], number[~often], document[~often], code[~often]
     cuts, often_cuts = np.searchsorted(shard, np.arange(shards + 1)), np.searchsorted(often_shard, np.arange(shards + 1))
     flags = np.packbits(train).tobytes()
-    for s in range(shards):
+    for s in np.unique(np.concatenate([shard, often_shard])).tolist():  # those that the chunk has pairs of
         a, b, c, d = cuts[s], cuts[s + 1], often_cuts[s], often_cuts[s + 1]
         if a < b or c < d:
             yield {
@@ -314,6 +315,7 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. train: a condition on docs that tells which rows are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "ngramtrie")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    id_arrow = to_arrow_type(docs.schema["doc_id"].dataType)
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size, learned = plain.agg(F.sum(F.octet_length("text") / 5 + 1), F.sum(F.col("train").cast("long"))).first()
     shards = max(4, -(-int(size or 0) // SHARD_TOKENS))
@@ -356,7 +358,7 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
 
     kept = ["chunk", "ids", "sizes", "known", "base", "plain", "pairs", "counts", "documents", "ratios"]
     names = ["shard", *kept, "gains"]
-    types_ = dict(fields) | {"gains": pa.binary(), "ids": pa.list_(_arrow(kind))}
+    types_ = dict(fields) | {"gains": pa.binary(), "ids": pa.list_(id_arrow)}
 
     def answer(batches):
         for rows in _grouped(batches, "shard"):
@@ -382,17 +384,13 @@ def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
                 gain += np.frombuffer(r["gains"], np.float32)
                 found |= zip(((r["shard"], k) for k in np.frombuffer(r["pairs"], np.uint64).tolist()), np.frombuffer(r["counts"], np.float64).tolist(), strict=True)
             total_gain = gain[:n] + _own_gains(own[0], found, n)
-            columns = [pa.array(own[0]["ids"], _arrow(kind)), pa.array(own[0]["sizes"], pa.int64()), pa.array(own[0]["known"], pa.int64()), pa.array(own[0]["base"], pa.float64()), pa.array((np.array(own[0]["plain"]) + total_gain).tolist(), pa.float64())]
+            columns = [pa.array(own[0]["ids"], id_arrow), pa.array(own[0]["sizes"], pa.int64()), pa.array(own[0]["known"], pa.int64()), pa.array(own[0]["base"], pa.float64()), pa.array((np.array(own[0]["plain"]) + total_gain).tolist(), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     done = answered.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return done.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "smallint": pa.int16()}[kind]
-
-
 def _joined(plain: DataFrame, counted: DataFrame, shards: int) -> DataFrame:
     """plain with the counts of each row's own words (words array<long>, counts array<long>), by a shuffled join."""
     keyed = plain.withColumn("row_key", F.struct("doc_id", F.xxhash64("text").alias("h")))
