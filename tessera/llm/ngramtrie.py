@@ -1,15 +1,18 @@
 """Language-model scoring through Elias-Fano n-gram tries.
 
 The model interpolates bigrams with add-one unigrams: p(w | u) = (1 - a) c(u w) / c(u) + a p1(w), where a falls slowly
-with c(u), and p1(w) = (c(w) + 1) / (N + V + 1). Word counts are gathered per batch of documents, summed in shards by
-word, and go to the executors if they are few enough; beyond a bound of words each document is joined with the counts of
-its own words instead. Each chunk of documents then sends its word pairs, sorted and Elias-Fano coded, with a quantised
-ratio of the unigram's to the bigram's weight, to the shard of the pair. A shard sums the pairs' counts over training
-documents, builds a trie of two levels from them (contexts; successors below each context; monotone pointers between;
-quantised counts) in one compact buffer, finds the chunks' pairs by searching the context and then the successor
-relative to it, and returns to each chunk what its documents gain over the unigram term. All pairs of a context need not
-meet: c(u) comes with the word counts, so frequent contexts are spread over all shards. A pair that is frequent in a chunk
-goes to its shard once, as a number, and its count comes back to the chunk, which kept the places.
+with c(u), and p1(w) = (c(w) + 1) / (N + V + 1). Documents are cut into chunks, written once: each chunk has its distinct
+words and, packed, their places. A chunk asks twice, each time with one entry for each distinct thing that it has, and gets
+an answer for each entry in the same order. First the shards of words sum the words' counts over training documents and
+answer with them. Then the shards of pairs sum the pairs' counts, build a trie of two levels (contexts; successors below
+each context; monotone pointers between; quantised smoothed probabilities, as log10 p(w | u) over its backed-off value
+a p1(w)), find the chunks' pairs in it and answer with the quantised values. The trie is searched as it is packed: the context
+by its high and low bits, then the successor relative to it, between the context's pointers. At last each chunk adds up what
+its documents' places have. Nothing goes through the driver but a few sums, and the plan is the same at every size.
+
+Words and pairs that are frequent weigh no more than others: a chunk asks once for each. All pairs of a context need not meet
+either, as c(u) comes with the word counts: frequent contexts are spread over all shards. Shards grow with the corpus, so
+a message holds fewer entries the larger it is; there are never more messages than entries.
 
 Tokens: words between ASCII white space, A-Z lower-cased, then one end. Nulls: a null text is the empty text (one token,
 the end). A null doc_id is learned from as the empty id is. Equal rows get equal results. Without training tokens N and V
@@ -19,7 +22,7 @@ are 0 and every token has p1 = 1. An empty table gives an empty result. Other co
 from __future__ import annotations
 
 import math
-from itertools import islice
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import Scratch, remainder
+from tessera.llm.common import Scratch, lean, remainder, small_batches
 
-#: Words whose counts are sent to the executors; with more, documents are joined with the counts.
-MAX_SHIPPED = 12_000_000
-#: Documents of a chunk (one byte numbers them), bytes of text of a chunk, and tokens of a shard, about.
-CHUNK, CHUNK_BYTES, SHARD_TOKENS = 256, 4 << 20, 2_500_000
+#: Bytes of text of a chunk, unless one document has more, and tokens of a shard, about.
+CHUNK_BYTES, SHARD_TOKENS = 4 << 20, 2_500_000
 #: The unigram's weight is TOP * c(u) ** -FALL.
 TOP, FALL = 0.95, 0.1
-#: Steps of the logarithm to base 2 of quantised values: 8 a doubling.
-STEPS = 8
+#: Steps of quantised values in 16 bits: of a logarithm to base 2, around RATIO_ZERO, and of a gain's logarithm to base 10.
+RATIO_STEPS, RATIO_ZERO, GAIN_STEPS = 256, 1 << 15, 4096
 #: Hashes of what no word can be, as it has a blank.
 END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")
-#: Occurrences in a chunk from which a pair counts as frequent there.
-FREQUENT = 16
 HALF = np.uint64(24)
 MASK = np.uint64((1 << 24) - 1)
+#: Queries that a trie answers at once.
+ASKED = 1 << 18
 
 
 def token_hashes(text: str | None) -> np.ndarray:
@@ -53,79 +54,116 @@ def token_hashes(text: str | None) -> np.ndarray:
 
 
 class EliasFano:
-    """A monotone sequence of numbers below 2**48: low bits packed, high bits in unary; search by high part, then low."""
+    """A monotone sequence of numbers below 2**48: low bits packed, high bits in unary. Opened, it stays packed: what is
+    added is a directory, the ones before each 64 bits of the unary part."""
 
     @staticmethod
     def pack(values: np.ndarray) -> bytes:
         n = len(values)
         top = int(values[-1]) if n else 0
         low = max(0, (top // max(n, 1)).bit_length() - 1)
-        bits = np.zeros(0, np.uint8)
+        lows = b""
         if low:
             shifts = np.arange(low, dtype=np.uint64)
-            bits = ((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).reshape(-1)
+            parts = (values[at : at + ASKED, None] >> shifts & np.uint64(1) for at in range(0, n, ASKED))  # each fills whole bytes
+            lows = b"".join(np.packbits(p.astype(np.uint8), bitorder="little").tobytes() for p in parts)
         high = (values >> np.uint64(low)).astype(np.int64)
         unary = np.zeros(n + (int(high[-1]) if n else 0) + 1, np.uint8)
         unary[high + np.arange(n)] = 1
-        body = np.packbits(bits).tobytes(), np.packbits(unary).tobytes()
-        return np.array([n, low, len(body[0]), len(unary)], np.int64).tobytes() + body[0] + body[1]
+        return np.array([n, low, len(lows), len(unary)], np.int64).tobytes() + lows + np.packbits(unary, bitorder="little").tobytes()
 
     def __init__(self, buffer: bytes | memoryview):
-        n, low, size, unary = np.frombuffer(buffer, np.int64, 4).tolist()
-        self.n, self.low = n, low
-        body = np.frombuffer(buffer, np.uint8, size, 32)
-        self.bytes = 32 + size + -(-unary // 8)
-        bits = np.unpackbits(np.frombuffer(buffer, np.uint8, -(-unary // 8), 32 + size), count=unary)
-        self.high = np.flatnonzero(bits) - np.arange(n)
-        if low:
-            lows = np.unpackbits(body, count=n * low).reshape(n, low)
-            self.lows = np.zeros(n, np.uint64)
-            for k in range(low):
-                self.lows |= lows[:, k].astype(np.uint64) << np.uint64(k)
-        else:
-            self.lows = np.zeros(n, np.uint64)
+        self.n, self.low, size, self.unary = np.frombuffer(buffer, np.int64, 4).tolist()
+        self.packed = np.frombuffer(buffer, np.uint8, size, 32)
+        self.bits = np.frombuffer(buffer, np.uint8, -(-self.unary // 8), 32 + size)
+        self.opened = False
+
+    def _open(self) -> None:
+        """Makes the directory, for searches."""
+        if not self.opened:
+            blocks = -(-len(self.bits) // 8)
+            self.blocks = np.zeros(blocks, "<u8")
+            self.blocks.view(np.uint8)[: len(self.bits)] = self.bits
+            self.ones = np.r_[0, np.cumsum(np.bitwise_count(self.blocks), dtype=np.int64)]
+            self.zeros = np.arange(blocks + 1) * 64 - self.ones
+            padded = np.r_[self.packed, np.zeros(8, np.uint8)]
+            self.windows = np.ndarray(len(self.packed) + 1, "<u8", padded, strides=(1,))  # the 64 bits from each byte on
+            self.opened = True
 
     def values(self) -> np.ndarray:
-        return (self.high.astype(np.uint64) << np.uint64(self.low)) | self.lows
+        """All numbers, unpacked."""
+        high = np.flatnonzero(np.unpackbits(self.bits, count=self.unary, bitorder="little")) - np.arange(self.n)
+        out = high.astype(np.uint64) << np.uint64(self.low)
+        if self.low:
+            lows = np.unpackbits(self.packed, count=self.n * self.low, bitorder="little").reshape(self.n, self.low)
+            for k in range(self.low):
+                out |= lows[:, k].astype(np.uint64) << np.uint64(k)
+        return out
+
+    def _select(self, before: np.ndarray, blocks: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """The place of the k-th set bit of blocks, counted from 0; before: the set bits before each block."""
+        block = np.searchsorted(before, k, "right") - 1
+        word, left, place = blocks[block], (k - before[block]).astype(np.uint64), block * 64
+        for half in (32, 16, 8, 4, 2, 1):
+            count = np.bitwise_count(word & np.uint64((1 << half) - 1)).astype(np.uint64)
+            over = left >= count
+            left = np.where(over, left - count, left)
+            word = np.where(over, word >> np.uint64(half), word)
+            place = place + over * half
+        return place
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        if not self.low:
+            return np.zeros(len(at), np.uint64)
+        bit = at * self.low
+        return (self.windows[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The numbers at places."""
+        self._open()
+        high = self._select(self.ones, self.blocks, places) - places
+        return (high.astype(np.uint64) << np.uint64(self.low)) | self._low(places)
+
+    def _bucket(self, high: np.ndarray) -> np.ndarray:
+        """How many numbers have a smaller high part: the zeros before them are as many as the part."""
+        out = np.zeros(len(high), np.int64)
+        some = high > 0
+        beyond = high >= self.unary - self.n
+        look = some & ~beyond
+        out[beyond] = self.n
+        k = high[look] - 1
+        out[look] = self._select(self.zeros, ~self.blocks, k) - k
+        return out
 
     def successor(self, wanted: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
         """The first place in [first, last) whose value isn't below the wanted one; last if there is none."""
-        values = self.values()
-        low = np.broadcast_to(np.asarray(first, np.int64), wanted.shape).copy()
-        high = np.full(wanted.shape, self.n, np.int64) if last is None else np.asarray(last, np.int64).copy()
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            mid = (low + high) >> 1
-            less = open_ & (values[np.minimum(mid, max(self.n - 1, 0))] < wanted)
-            low = np.where(less, mid + 1, low)
-            high = np.where(open_ & ~less, mid, high)
+        self._open()
+        high, rest = (wanted >> np.uint64(self.low)).astype(np.int64), wanted & np.uint64((1 << self.low) - 1)
+        least = np.broadcast_to(np.asarray(first, np.int64), wanted.shape)
+        most = np.full(wanted.shape, self.n, np.int64) if last is None else np.asarray(last, np.int64)
+        low = np.clip(self._bucket(high), least, most)
+        end = np.clip(self._bucket(high + 1), least, most)
+        while len(open_ := np.flatnonzero(low < end)):
+            mid = (low[open_] + end[open_]) >> 1
+            less = self._low(mid) < rest[open_]
+            low[open_[less]] = mid[less] + 1
+            end[open_[~less]] = mid[~less]
+        return low
 
 
 class Trie:
     """Two levels over one buffer: contexts, pointers to their successors, successors made monotone by adding their
-    context's number, quantised counts. Opened without copying the buffer's bytes first."""
+    context's number, quantised values. Opened and searched as the buffer is."""
 
     @staticmethod
-    def build(pairs: np.ndarray, counts: np.ndarray) -> bytes:
-        """pairs: distinct 48-bit numbers, ascending: context in the upper half, successor in the lower."""
+    def build(pairs: np.ndarray, codes: np.ndarray) -> bytes:
+        """pairs: distinct 48-bit numbers, ascending: context in the upper half, successor in the lower. codes: 16 bits each, not 0."""
         context = pairs >> HALF
         new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(pairs) else np.zeros(0, np.int64)
         number = np.repeat(np.arange(len(new), dtype=np.uint64), np.diff(np.r_[new, len(pairs)]))
-        levels = [EliasFano.pack(context[new]), EliasFano.pack(np.r_[new, len(pairs)].astype(np.uint64)), EliasFano.pack((number << HALF) | (pairs & MASK)), Trie.quantised(counts).tobytes()]
+        levels = [EliasFano.pack(context[new]), EliasFano.pack(np.r_[new, len(pairs)].astype(np.uint64)), EliasFano.pack((number << HALF) | (pairs & MASK)), codes.astype(np.uint16).tobytes()]
         return np.array([len(x) for x in levels], np.int64).tobytes() + b"".join(levels)
 
-    @staticmethod
-    def quantised(counts: np.ndarray) -> np.ndarray:
-        """One byte: small counts as they are, larger ones on a scale of logarithms."""
-        return np.where(counts < 32, counts, np.minimum(255, 32 + np.round(4 * (np.log2(np.maximum(counts, 32)) - 5)))).astype(np.uint8)
-
-    @staticmethod
-    def restored(codes: np.ndarray) -> np.ndarray:
-        codes = codes.astype(float)
-        return np.where(codes < 32, codes, 2 ** ((codes - 32) / 4 + 5))
-
     def __init__(self, buffer: bytes):
         sizes = np.frombuffer(buffer, np.int64, 4).tolist()
         view, at, parts = memoryview(buffer), 32, []
@@ -133,34 +171,39 @@ class Trie:
             parts.append(view[at : at + size])
             at += size
         self.contexts, self.pointers, self.successors = map(EliasFano, parts[:3])
-        self.codes = np.frombuffer(parts[3], np.uint8)
-        self.starts = self.pointers.values().astype(np.int64)
-
-    def counts(self, pairs: np.ndarray) -> np.ndarray:
-        """The quantised counts of pairs; 0 for those that the trie lacks."""
-        if not len(self.codes):
-            return np.zeros(len(pairs))
-        context = pairs >> HALF
-        node = self.contexts.successor(context)
-        there = node < self.contexts.n
-        node = np.minimum(node, self.contexts.n - 1)
-        there &= self.contexts.values()[node] == context
-        wanted = (node.astype(np.uint64) << HALF) | (pairs & MASK)
-        at = self.successors.successor(wanted, self.starts[node], self.starts[node + 1])
-        inside = there & (at < self.starts[node + 1])
-        at = np.minimum(at, self.successors.n - 1)
-        inside &= self.successors.values()[at] == wanted
-        return np.where(inside, self.restored(self.codes[at]), 0.0)
-
-
-def _unique_sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[new], np.add.reduceat(counts, new) if len(new) else counts[:0]
-
-
-def _grouped(batches, key: str):
+        self.codes = np.frombuffer(parts[3], np.uint16)
+
+    def look_up(self, pairs: np.ndarray) -> np.ndarray:
+        """The codes of pairs; 0 for those that the trie lacks."""
+        out = np.zeros(len(pairs), np.uint16)
+        for at in range(0, len(pairs) if len(self.codes) else 0, ASKED):
+            part = pairs[at : at + ASKED]
+            context = part >> HALF
+            node = np.minimum(self.contexts.successor(context), self.contexts.n - 1)
+            there = np.flatnonzero(self.contexts.at(node) == context)
+            node = node[there]
+            wanted = (node.astype(np.uint64) << HALF) | (part[there] & MASK)
+            ends = self.pointers.at(node + 1).astype(np.int64)
+            found = self.successors.successor(wanted, self.pointers.at(node).astype(np.int64), ends)
+            inside = found < ends
+            there, wanted, found = there[inside], wanted[inside], found[inside]
+            same = self.successors.at(found) == wanted
+            out[at + there[same]] = self.codes[found[same]]
+        return out
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    top = int(numbers.max()) if len(numbers) else 0
+    size = next(s for s in (1, 2, 4, 8) if top < 1 << (8 * s))
+    return bytes([size]) + numbers.astype(f"<u{size}").tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+def _grouped(batches, key: str) -> Iterator[list[dict]]:
     """Lists of rows (dicts) of equal key, of batches in the key's order."""
     held: list[dict] = []
     for batch in batches:
@@ -173,255 +216,205 @@ def _grouped(batches, key: str):
         yield held
 
 
-def word_counts(docs: DataFrame, scratch: Scratch, shards: int) -> DataFrame:
-    """(shard int, words binary, counts binary) of docs(text, train): 64-bit hashes, ascending, and 64-bit counts."""
-
-    def gather(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                texts = batch.column(0).slice(at, 4096).to_pylist()
-                words, counts = np.unique(np.concatenate([token_hashes(t) for t in texts]), return_counts=True)
-                shard = (words % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = [(s, words[o].tobytes(), counts[o].astype(np.int64).tobytes()) for s in np.unique(shard).tolist() if len(o := order[ends[s] : ends[s + 1]])]
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["shard", "words", "counts"])
-
-    def total(batches):
-        for rows in _grouped(batches, "shard"):
-            words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
-            words, counts = _unique_sums(words, np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[0]["shard"]], pa.int32()), pa.array([words.tobytes()]), pa.array([counts.tobytes()]), pa.array([int(counts.sum())], pa.int64())], names=["shard", "words", "counts", "n"]
-            )
-
-    sent = docs.where("train").select("text").mapInArrow(gather, "shard int, words binary, counts binary")
-    merged = sent.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(total, "shard int, words binary, counts binary, n long")
-    return scratch.cut(merged)
-
-
-class Counts:
-    """Counts of words by hash."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-
-    def of(self, wanted: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(wanted), np.int64)
-        at = np.minimum(np.searchsorted(self.words, wanted), len(self.words) - 1)
-        return np.where(self.words[at] == wanted, self.counts[at], 0)
+def _rows(columns: dict[str, pa.DataType], rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(name) for r in rows], kind) for name, kind in columns.items()], names=list(columns))
 
 
 def _mixed(context: np.ndarray, word: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """The pair's shard and its 48-bit number in the shard."""
     x = (context * np.uint64(0x9E3779B97F4A7C15)) ^ (word + (context >> np.uint64(31)))
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((x >> np.uint64(40)) % np.uint64(shards)).astype(np.int64), ((context >> np.uint64(40)) << HALF) | (word >> np.uint64(40))
+    return ((x >> np.uint64(24)) % np.uint64(shards)).astype(np.int64), ((context >> np.uint64(40)) << HALF) | (word >> np.uint64(40))
 
 
-def _chunk_rows(chunk: int, ids, texts: list[np.ndarray], train: np.ndarray, counts: Counts, total: int, types: int, starts: int, shards: int):
-    """A chunk's rows: its own (documents' sums), with a negative shard, and one for each shard that gets pairs."""
+def _packed_chunk(chunk: int, ids: list, texts: list[np.ndarray], train: np.ndarray) -> dict:
+    """A chunk of documents: distinct words (hashes, ascending), how often training documents have each, and all places' words by number."""
     size = np.array([len(t) for t in texts])
-    word = np.concatenate(texts)
-    distinct, where = np.unique(word, return_inverse=True)
-    count = counts.of(distinct)[where]
-    ends = np.cumsum(size)
-    first = ends - size
-    log_total = math.log10(total + types + 1)
-    base = np.log10(count + 1.0) - log_total
-    before = np.empty(len(word), np.int64)
-    before[1:], before[first] = count[:-1], starts
-    context = np.empty(len(word), np.uint64)
-    context[1:], context[first] = word[:-1], np.uint64(START)
-    weight = np.where(before > 0, TOP * np.maximum(before, 1.0) ** -FALL, 1.0)
-    document = np.repeat(np.arange(len(texts)), size)
-    sums = lambda x: np.bincount(document, x, len(texts))
-    own = {
-        "shard": -1 - chunk % shards, "chunk": chunk, "ids": ids, "sizes": size.tolist(), "known": sums(count > 0).astype(np.int64).tolist(),
-        "base": sums(base).tolist(), "plain": sums(base + np.log10(weight)).tolist(),
+    words, places = np.unique(np.concatenate(texts), return_inverse=True)
+    learned = np.bincount(places[np.repeat(train, size)], minlength=len(words))
+    # frequent words get small numbers, which a general compressor makes short
+    order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.int64)
+    rank[order] = np.arange(len(words))
+    kept = _narrow(rank[places])
+    return {
+        "chunk": chunk, "ids": ids, "sizes": size.tolist(), "train": np.packbits(train).tobytes(), "words": words.tobytes(), "learned": _narrow(learned), "order": _narrow(order),
+        "length": len(kept), "places": pa.compress(kept, "zstd", asbytes=True),
     }
-    # a pair can have been learned only if its context and its word were
-    seen = (before > 0) & (count > 0)
-    document, weight, before = document[seen], weight[seen], before[seen]
-    shard, number = _mixed(context[seen], word[seen], shards)
-    # log2 of a p1(w) c(u) / (1 - a), which c(u w) is held against; quantised in one byte
-    ratio = np.log2(weight / (1 - weight) * before) + base[seen] * math.log2(10)
-    code = np.clip(np.round(STEPS * ratio / 2) + 160, 0, 255).astype(np.uint8)
-    order = np.lexsort((number, shard))
-    shard, number, document, code = shard[order], number[order], document[order].astype(np.uint8), code[order]
-    first = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (shard[1:] != shard[:-1])]) if len(number) else np.zeros(0, np.int64)
-    times = np.diff(np.r_[first, len(number)])
-    many = times >= FREQUENT
-    often = np.repeat(many, times)
-    heads, lengths = first[many], times[many]
-    learned = np.add.reduceat(train[document].astype(np.int64), first)[many] if len(first) else np.zeros(0, np.int64)
-    own |= {"pairs": number[heads].tobytes(), "counts": np.stack([shard[heads], lengths]).tobytes(), "documents": document[often].tobytes(), "ratios": code[heads].tobytes(), "train": None}
-    yield own
-    often_shard, often_number = shard[heads], number[heads]
-    shard, number, document, code = shard[~often], number[~often], document[~often], code[~often]
-    cuts, often_cuts = np.searchsorted(shard, np.arange(shards + 1)), np.searchsorted(often_shard, np.arange(shards + 1))
-    flags = np.packbits(train).tobytes()
-    for s in np.unique(np.concatenate([shard, often_shard])).tolist():  # those that the chunk has pairs of
-        a, b, c, d = cuts[s], cuts[s + 1], often_cuts[s], often_cuts[s + 1]
-        if a < b or c < d:
-            yield {
-                "shard": s, "chunk": chunk, "ids": None, "sizes": None, "known": None, "base": None, "plain": None, "pairs": EliasFano.pack(number[a:b]),
-                "counts": np.stack([often_number[c:d], learned[c:d].astype(np.uint64)]).tobytes(), "documents": document[a:b].tobytes(), "ratios": code[a:b].tobytes(), "train": flags,
-            }
-
-
-def _gain(found: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """log10 of how much likelier a pair is by its count than by its word alone."""
-    return np.log10(1 + found / 2 ** ((code.astype(float) - 160) * 2 / STEPS))
-
-
-def _gains(rows: list[dict]):
-    """For each chunk of a shard what its documents gain, and the counts of its frequent pairs."""
-    pairs = [EliasFano(r["pairs"]).values() for r in rows]
-    documents = [np.frombuffer(r["documents"], np.uint8) for r in rows]
-    often = [np.frombuffer(r["counts"], np.uint64).reshape(2, -1) for r in rows]
-    learned = [p[np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)[d]] for p, d, r in zip(pairs, documents, rows, strict=True)]
-    numbers = np.concatenate([*learned, *(o[0] for o in often)])
-    distinct, counts = _unique_sums(numbers, np.concatenate([np.ones(sum(map(len, learned)), np.int64), *(o[1].astype(np.int64) for o in often)]))
-    there = counts > 0
-    trie = Trie(Trie.build(distinct[there], counts[there]))
-    for at in range(0, len(rows), 64):
-        part = range(at, min(at + 64, len(rows)))
-        asked, where = np.unique(np.concatenate([*(pairs[k] for k in part), *(often[k][0] for k in part)]), return_inverse=True)
-        found = trie.counts(asked)[where]
-        end = 0
-        light = sum(len(pairs[k]) for k in part)
-        for k in part:
-            size, more = len(pairs[k]), len(often[k][0])
-            gain = _gain(found[end : end + size], np.frombuffer(rows[k]["ratios"], np.uint8))
-            back = found[light : light + more]
-            yield rows[k]["chunk"], np.bincount(documents[k], gain, CHUNK).astype(np.float32), often[k][0], back
-            end, light = end + size, light + more
-
-
-def _own_gains(row: dict, found: dict[tuple[int, int], float], n: int) -> np.ndarray:
-    """What the documents of a chunk gain by its frequent pairs, whose places its own row has."""
-    numbers = np.frombuffer(row["pairs"], np.uint64)
-    shard, lengths = np.frombuffer(row["counts"], np.int64).reshape(2, -1)
-    counts = np.array([found[s, k] for s, k in zip(shard.tolist(), numbers.tolist(), strict=True)])
-    gain = np.repeat(_gain(counts, np.frombuffer(row["ratios"], np.uint8)), lengths) if len(counts) else counts
-    return np.bincount(np.frombuffer(row["documents"], np.uint8), gain, n)
-
-
-def score(docs: DataFrame, train, max_shipped: int = MAX_SHIPPED) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. train: a condition on docs that tells which rows are learned from."""
+
+
+def _word_messages(row: dict, shards: int) -> Iterator[dict]:
+    """What a chunk asks: its distinct words, in ranges of hashes, and how often its training documents have them."""
+    words, learned = np.frombuffer(row["words"], np.uint64), _wide(row["learned"])
+    shard = ((words >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    cuts = np.r_[0, np.flatnonzero(shard[1:] != shard[:-1]) + 1, len(words)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield {"shard": int(shard[a]), "chunk": row["chunk"], "words": words[a:b].tobytes(), "learned": _narrow(learned[a:b])}
+
+
+def _summed(rows: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct numbers, ascending, the sums of their counts, and for each row the places of its numbers."""
+    distinct, where = np.unique(np.concatenate(rows), return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, where, np.concatenate(counts).astype(np.int64))
+    return distinct, sums, np.split(where, np.cumsum([len(r) for r in rows])[:-1])
+
+
+def _word_answers(rows: list[dict]) -> Iterator[dict]:
+    """To each chunk of a shard of words their counts; the first answer has the shard's sum and number of learned words too."""
+    _, counts, where = _summed([np.frombuffer(r["words"], np.uint64) for r in rows], [_wide(r["learned"]) for r in rows])
+    n, types = int(counts.sum()), int((counts > 0).sum())
+    for r, at in zip(rows, where, strict=True):
+        yield {"chunk": r["chunk"], "shard": r["shard"], "answer": _narrow(counts[at]), "n": n, "types": types}
+        n = types = 0
+
+
+class Places:
+    """A chunk with the counts of its words: the logarithms of its places' backed-off probabilities, and its distinct pairs in the order of their shards."""
+
+    def __init__(self, rows: list[dict], total: int, types: int, starts: int, shards: int):
+        own, answers = rows[0], [r for r in rows if r["phase"] == 1]
+        if own["phase"] or any(r["phase"] == 0 for r in rows[1:]):
+            raise ValueError("a chunk has not one row of its own")
+        self.ids, self.size = own["ids"], np.array(own["sizes"])
+        words = np.r_[np.frombuffer(own["words"], np.uint64), np.uint64(START)]
+        count = np.r_[np.concatenate([_wide(r["answer"]).astype(np.int64) for r in answers]), starts]
+        if len(count) != len(words):
+            raise ValueError("a chunk's words are not all answered")
+        place = _wide(own["order"]).astype(np.int64)[_wide(pa.decompress(own["places"], own["length"], "zstd", asbytes=True))]
+        before = np.r_[0, place[:-1]]
+        before[np.cumsum(self.size) - self.size] = len(words) - 1
+        self.document = np.repeat(np.arange(len(self.size)), self.size)
+        base = np.log10(count + 1.0) - math.log10(total + types + 1)
+        weight = np.where(count > 0, TOP * np.maximum(count, 1.0) ** -FALL, 1.0)
+        self.known, self.base = self.sums(count[place] > 0), self.sums(base[place])
+        self.plain = base[place] + np.log10(weight)[before]
+        # a pair can have been learned only if its context and its word were
+        self.seen = np.flatnonzero((count[before] > 0) & (count[place] > 0))
+        n = np.int64(len(words))
+        pairs, where = np.unique(before[self.seen] * n + place[self.seen], return_inverse=True)
+        context, word = pairs // n, pairs % n
+        shard, number = _mixed(words[context], words[word], shards)
+        order = np.lexsort((number, shard))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.pair, self.shard, self.number = rank[where], shard[order], number[order]
+        train = np.unpackbits(np.frombuffer(own["train"], np.uint8), count=len(self.size)).astype(bool)
+        self.learned = np.bincount(self.pair[train[self.document[self.seen]]], minlength=len(order))
+        # log2 of a p1(w) c(u) / (1 - a), which c(u w) is held against
+        ratio = (np.log2(weight / (1.0 - np.minimum(weight, TOP)) * np.maximum(count, 1)))[context] + base[word] * math.log2(10)
+        self.ratio = np.clip(np.round(RATIO_STEPS * ratio) + RATIO_ZERO, 0, (1 << 16) - 1).astype(np.uint16)[order]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """A document's sum, of values of places."""
+        return np.bincount(self.document, values, len(self.size))
+
+    def messages(self, chunk: int) -> Iterator[dict]:
+        """What the chunk asks the shards of pairs."""
+        cuts = np.r_[0, np.flatnonzero(self.shard[1:] != self.shard[:-1]) + 1, len(self.shard)] if len(self.shard) else np.zeros(1, np.int64)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield {"shard": int(self.shard[a]), "chunk": chunk, "pairs": EliasFano.pack(self.number[a:b]), "learned": _narrow(self.learned[a:b]), "ratios": self.ratio[a:b].tobytes()}
+
+    def scores(self, answers: list[dict]) -> np.ndarray:
+        """The documents' log10 probabilities, with what their pairs gain over the backed-off values."""
+        codes = np.concatenate([np.frombuffer(r["answer"], np.uint16) for r in answers] or [np.zeros(0, np.uint16)])
+        if len(codes) != len(self.shard):
+            raise ValueError("a chunk's pairs are not all answered")
+        score = self.plain.copy()
+        score[self.seen] += codes[self.pair] / GAIN_STEPS
+        return self.sums(score)
+
+
+def _pair_answers(rows: list[dict]) -> Iterator[dict]:
+    """To each chunk of a shard of pairs the trie's codes of them."""
+    asked = [EliasFano(r["pairs"]).values() for r in rows]
+    pairs, counts, where = _summed(asked, [_wide(r["learned"]) for r in rows])
+    ratio = np.zeros(len(pairs), np.int64)
+    np.maximum.at(ratio, np.concatenate(where), np.concatenate([np.frombuffer(r["ratios"], np.uint16) for r in rows]).astype(np.int64))
+    gain = np.log10(1 + counts / 2.0 ** ((ratio - RATIO_ZERO) / RATIO_STEPS))
+    codes = np.clip(np.round(gain * GAIN_STEPS), 1, (1 << 16) - 1).astype(np.uint16)
+    learned = counts > 0
+    found = Trie(Trie.build(pairs[learned], codes[learned])).look_up(pairs)
+    for r, at in zip(rows, where, strict=True):
+        yield {"chunk": r["chunk"], "shard": r["shard"], "answer": found[at].tobytes()}
+
+
+def score(docs: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score. train: a condition on docs that tells which rows are learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "ngramtrie")
+    small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    id_arrow = to_arrow_type(docs.schema["doc_id"].dataType)
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size, learned = plain.agg(F.sum(F.octet_length("text") / 5 + 1), F.sum(F.col("train").cast("long"))).first()
-    shards = max(4, -(-int(size or 0) // SHARD_TOKENS))
+    shards = max(4, -(-int(size or 0) // shard_tokens))
     starts = int(learned or 0)
-    counted = word_counts(plain, scratch, shards)
-    total, types = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum((F.octet_length("words") / 8).cast("long"))).first())
-    fields = [("shard", pa.int32()), ("chunk", pa.int64()), ("ids", None), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("plain", pa.list_(pa.float64()))]
-    fields += [(name, pa.binary()) for name in ("pairs", "counts", "documents", "ratios", "train")]
-    schema = f"shard int, chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, pairs binary, counts binary, documents binary, ratios binary, train binary"
-
-    def chunks(batches, counts_of):
-        """Rows of each chunk of documents; a chunk's number is its task's and its place there."""
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            id_type, at = batch.schema.field(0).type, 0
-            sizes = [len(t) for t in batch.column(1).to_pylist()]
-            while at < batch.num_rows:
-                to, n = at, 0
-                while to < batch.num_rows and to - at < CHUNK and (to == at or n + sizes[to] <= CHUNK_BYTES):
-                    n += sizes[to]
-                    to += 1
-                part = batch.slice(at, to - at)
-                texts = [token_hashes(t) for t in part.column(1).to_pylist()]
-                flags = np.array(part.column(2).to_pylist(), bool)
-                rows = list(_chunk_rows(chunk, part.column(0).to_pylist(), texts, flags, counts_of(part), total, types, starts, shards))
-                yield pa.RecordBatch.from_arrays([pa.array([r[name] for r in rows], pa.list_(id_type) if name == "ids" else t) for name, t in fields], names=[name for name, _ in fields])
-                chunk, at = chunk + 1, to
-
-    if types <= max_shipped:
-        got = counted.select("words", "counts").collect()  # at most max_shipped words of 16 bytes
-        shipped = spark.sparkContext.broadcast(Counts(np.concatenate([np.frombuffer(r["words"], np.uint64) for r in got] or [np.zeros(0, np.uint64)]), np.concatenate([np.frombuffer(r["counts"], np.int64) for r in got] or [np.zeros(0, np.int64)]).astype(np.int64)))
-        del got
-
-        def send(batches):
-            yield from chunks(batches, lambda part: shipped.value)
-
-        sent = plain.mapInArrow(send, schema)
-    else:
-        sent = _joined(plain, counted, shards).mapInArrow(lambda batches: chunks(batches, _own_counts), schema)
-
-    kept = ["chunk", "ids", "sizes", "known", "base", "plain", "pairs", "counts", "documents", "ratios"]
-    names = ["shard", *kept, "gains"]
-    types_ = dict(fields) | {"gains": pa.binary(), "ids": pa.list_(id_arrow)}
-
-    def answer(batches):
-        for rows in _grouped(batches, "shard"):
-            if rows[0]["shard"] < 0:
-                out = ({"shard": r["shard"], "gains": None} | {name: r[name] for name in kept} for r in rows)
-            else:
-                out = ({"shard": rows[0]["shard"], "gains": g.tobytes(), "chunk": chunk, "pairs": number.tobytes(), "counts": back.tobytes()} for chunk, g, number, back in _gains(rows))
-            while part := list(islice(out, 256)):
-                yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in part], types_[n]) for n in names], names=names)
+    binary, long = pa.binary(), pa.int64()
 
-    answered = sent.repartition(shards, "shard").sortWithinPartitions("shard", "chunk").mapInArrow(
-        answer, f"shard int, chunk long, ids array<{kind}>, sizes array<long>, known array<long>, base array<double>, plain array<double>, pairs binary, counts binary, documents binary, ratios binary, gains binary"
-    )
+    own_columns = {"chunk": long, "ids": pa.list_(id_type), "sizes": pa.list_(long), "train": binary, "words": binary, "learned": binary, "order": binary, "length": long, "places": binary}
+    own_schema = f"chunk long, ids array<{kind}>, sizes array<long>, train binary, words binary, learned binary, order binary, length long, places binary"
 
-    def finish(batches):
-        for rows in _grouped(batches, "chunk"):
-            own = [r for r in rows if r["ids"] is not None]
-            if len(own) != 1:
-                raise ValueError("a chunk of documents was split between attempts of a task: run the query again")
-            n = len(own[0]["ids"])
-            gain, found = np.zeros(CHUNK), {}
-            for r in sorted((r for r in rows if r["ids"] is None), key=lambda r: r["shard"]):  # in a fixed order, for equal sums
-                gain += np.frombuffer(r["gains"], np.float32)
-                found |= zip(((r["shard"], k) for k in np.frombuffer(r["pairs"], np.uint64).tolist()), np.frombuffer(r["counts"], np.float64).tolist(), strict=True)
-            total_gain = gain[:n] + _own_gains(own[0], found, n)
-            columns = [pa.array(own[0]["ids"], id_arrow), pa.array(own[0]["sizes"], pa.int64()), pa.array(own[0]["known"], pa.int64()), pa.array(own[0]["base"], pa.float64()), pa.array((np.array(own[0]["plain"]) + total_gain).tolist(), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+    def cut(batches):
+        """Chunks of documents, over batches; a chunk's number is its task's and its place there."""
+        chunk, ids, texts, flags, held = TaskContext.get().partitionId() << 32, [], [], [], 0
+        for batch in batches:
+            for id_, text, flag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if ids and held + len(text) > chunk_bytes:
+                    yield _rows(own_columns, [_packed_chunk(chunk, ids, texts, np.array(flags, bool))])
+                    chunk, ids, texts, flags, held = chunk + 1, [], [], [], 0
+                ids.append(id_)
+                texts.append(token_hashes(text))
+                flags.append(flag)
+                held += len(text) + 1
+        if ids:
+            yield _rows(own_columns, [_packed_chunk(chunk, ids, texts, np.array(flags, bool))])
+
+    # written, so that a task that runs again can't cut other chunks
+    chunks = scratch.cut(plain.mapInArrow(lean(cut), own_schema))
+
+    def ask_words(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield _rows({"shard": pa.int32(), "chunk": long, "words": binary, "learned": binary}, list(_word_messages(row, shards)))
 
-    done = answered.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
-    return done.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    def answer_words(batches):
+        for rows in _grouped(batches, "shard"):
+            yield _rows({"chunk": long, "shard": pa.int32(), "answer": binary, "n": long, "types": long}, list(_word_answers(rows)))
 
+    asked = chunks.select("chunk", "words", "learned").mapInArrow(lean(ask_words), "shard int, chunk long, words binary, learned binary")
+    counted = asked.repartition(shards, "shard").sortWithinPartitions("shard", "chunk")
+    counted = scratch.cut(counted.mapInArrow(lean(answer_words), "chunk long, shard int, answer binary, n long, types long"))
+    total, types = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum("types")).first())
 
-def _joined(plain: DataFrame, counted: DataFrame, shards: int) -> DataFrame:
-    """plain with the counts of each row's own words (words array<long>, counts array<long>), by a shuffled join."""
-    keyed = plain.withColumn("row_key", F.struct("doc_id", F.xxhash64("text").alias("h")))
+    own = chunks.drop("learned").withColumns({"phase": F.lit(0), "shard": F.lit(-1), "answer": F.lit(None).cast("binary")})
+    answers = counted.select("chunk", F.lit(1).alias("phase"), "shard", "answer")
+    with_counts = own.unionByName(answers, allowMissingColumns=True)
 
-    def words(batches):
-        for batch in batches:
-            each = [np.unique(token_hashes(t)) for t in batch.column(1).to_pylist()]
-            take = pa.array(np.repeat(np.arange(len(each)), [len(w) for w in each]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(np.concatenate(each).view(np.int64))], names=["row_key", "word"])
-
-    def opened(batches):
-        for batch in batches:
-            for words_, counts in zip(batch.column(0), batch.column(1), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(words_.as_py(), np.int64)), pa.array(np.frombuffer(counts.as_py(), np.int64))], names=["word", "n"])
+    def ask_pairs(batches):
+        for rows in _grouped(batches, "chunk"):
+            places = Places(rows, total, types, starts, shards)
+            yield _rows({"shard": pa.int32(), "chunk": long, "pairs": binary, "learned": binary, "ratios": binary}, list(places.messages(rows[0]["chunk"])))
 
-    key_type = keyed.schema["row_key"].dataType.simpleString()
-    asked = keyed.select("row_key", "text").dropDuplicates(["row_key"]).mapInArrow(words, f"row_key {key_type}, word long")
-    known = counted.select("words", "counts").mapInArrow(opened, "word long, n long")
-    own = asked.join(known, "word").groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("found")).withColumnRenamed("row_key", "own_key")
-    joined = keyed.join(own, keyed["row_key"].eqNullSafe(own["own_key"]), "left")
-    return joined.select("doc_id", "text", "train", F.col("found.word").alias("words"), F.col("found.n").alias("counts"))
+    def answer_pairs(batches):
+        for rows in _grouped(batches, "shard"):
+            yield _rows({"chunk": long, "shard": pa.int32(), "answer": binary}, list(_pair_answers(rows)))
 
+    def finish(batches):
+        for rows in _grouped(batches, "chunk"):
+            places = Places(rows, total, types, starts, shards)
+            scores = places.scores([r for r in rows if r["phase"] == 2])
+            columns = [pa.array(places.ids, id_type), pa.array(places.size, long), pa.array(places.known.astype(np.int64), long), pa.array(places.base), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-def _own_counts(part) -> Counts:
-    words, counts = part.column(3), part.column(4)
-    flat = [w for row in words.to_pylist() for w in (row or [])], [n for row in counts.to_pylist() for n in (row or [])]
-    found, first = np.unique(np.array(flat[0], np.int64).view(np.uint64), return_index=True)
-    return Counts(found, np.array(flat[1], np.int64)[first])
+    order = ["chunk", "phase", "shard"]
+    sent = with_counts.repartition("chunk").sortWithinPartitions(*order).mapInArrow(lean(ask_pairs), "shard int, chunk long, pairs binary, learned binary, ratios binary")
+    found = sent.repartition(shards, "shard").sortWithinPartitions("shard", "chunk").mapInArrow(lean(answer_pairs), "chunk long, shard int, answer binary")
+    whole = with_counts.unionByName(found.withColumn("phase", F.lit(2)), allowMissingColumns=True)
+    done = whole.repartition("chunk").sortWithinPartitions(*order).mapInArrow(lean(finish), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return done.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def held_out(docs: DataFrame, max_shipped: int = MAX_SHIPPED) -> DataFrame:
+def held_out(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned where crc32(doc_id) mod 7 is not 2."""
-    scored = score(docs, remainder(F.col("doc_id"), 7) != 2, max_shipped)
+    scored = score(docs, remainder(F.col("doc_id"), 7) != 2, chunk_bytes, shard_tokens)
     return scored.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
