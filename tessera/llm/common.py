@@ -32,7 +32,8 @@ class Scratch:
     """Tables written to the shared folder to cut lineage; drop() deletes those that no plan reads any more, and all go when the driver's Python ends."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.made = spark, f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}", 0
+        self.key, self.tables = f"{name}_{uuid.uuid4().hex}", []
+        self.spark, self.root, self.made = spark, f"{shared_dir(spark)}/tessera/{self.key}", 0
         atexit.register(self._clean)
 
     def cut(self, df: DataFrame) -> DataFrame:
@@ -42,6 +43,14 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
+        """df as written, in buckets by a hash of key, and read again: joins by key with what is partitioned alike don't shuffle it."""
+        path, name = f"{self.root}/{self.made}", f"tessera_{self.key}_{self.made}"
+        self.made += 1
+        self.tables.append(name)
+        df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(name)
+        return self.spark.table(name)
+
     def drop(self, *numbers: int) -> None:
         for n in numbers:
             self._delete(f"{self.root}/{n}")
@@ -52,6 +61,8 @@ class Scratch:
 
     def _clean(self) -> None:
         with contextlib.suppress(Exception):  # the session may have ended before
+            for name in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self._delete(self.root)
 
 

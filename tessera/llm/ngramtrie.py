@@ -1,8 +1,8 @@
 """Language-model scoring through Elias-Fano n-gram tries.
 
 The model interpolates bigrams with add-one unigrams: p(w | u) = (1 - a) c(u w) / c(u) + a p1(w), where a falls slowly
-with c(u), and p1(w) = (c(w) + 1) / (N + V + 1). Documents are cut into chunks, written once: each chunk has its distinct
-words and, packed, their places. A chunk asks twice, each time with one entry for each distinct thing that it has, and gets
+with c(u), and p1(w) = (c(w) + 1) / (N + V + 1). Documents are cut into chunks, written once, in buckets, so that
+they aren't shuffled: each chunk has its distinct words and, packed, their places. A chunk asks twice, each time with one entry for each distinct thing that it has, and gets
 an answer for each entry in the same order. First the shards of words sum the words' counts over training documents and
 answer with them. Then the shards of pairs sum the pairs' counts, build a trie of two levels (contexts; successors below
 each context; monotone pointers between; quantised smoothed probabilities, as log10 p(w | u) over its backed-off value
@@ -44,6 +44,8 @@ RATIO_STEPS, RATIO_ZERO, GAIN_STEPS = 256, 1 << 15, 4096
 END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")
 HALF = np.uint64(24)
 MASK = np.uint64((1 << 24) - 1)
+#: Spark's limit of a table's buckets.
+MOST_BUCKETS = 100_000
 #: Queries that a trie answers at once.
 ASKED = 1 << 18
 
@@ -227,8 +229,29 @@ def _mixed(context: np.ndarray, word: np.ndarray, shards: int) -> tuple[np.ndarr
     return ((x >> np.uint64(24)) % np.uint64(shards)).astype(np.int64), ((context >> np.uint64(40)) << HALF) | (word >> np.uint64(40))
 
 
+def bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of 64-bit keys in a bucketed table: Spark's hash (Murmur3 of 32 bits, seed 42), modulo buckets."""
+    turn = lambda x, k: (x << np.uint32(k)) | (x >> np.uint32(32 - k))
+    h = np.full(len(keys), 42, np.uint32)
+    for part in (keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32)):
+        h = turn(h ^ (turn(part.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(8)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64) % buckets
+
+
+def _chunk_numbers(task: int, buckets: int) -> Iterator[int]:
+    """Numbers for a task's chunks that all fall into one bucket, so that the task writes one file."""
+    at = task << 40
+    while True:
+        block = np.arange(at, at + (1 << 16), dtype=np.uint64)
+        yield from block[bucket(block, buckets) == task % buckets].tolist()
+        at += 1 << 16
+
+
 def _packed_chunk(chunk: int, ids: list, texts: list[np.ndarray], train: np.ndarray) -> dict:
-    """A chunk of documents: distinct words (hashes, ascending), how often training documents have each, and all places' words by number."""
+    """A chunk of documents: distinct words (hashes, the most frequent first), how often training documents have each, and all places' words by number."""
     size = np.array([len(t) for t in texts])
     words, places = np.unique(np.concatenate(texts), return_inverse=True)
     learned = np.bincount(places[np.repeat(train, size)], minlength=len(words))
@@ -238,7 +261,7 @@ def _packed_chunk(chunk: int, ids: list, texts: list[np.ndarray], train: np.ndar
     rank[order] = np.arange(len(words))
     kept = _narrow(rank[places])
     return {
-        "chunk": chunk, "ids": ids, "sizes": size.tolist(), "train": np.packbits(train).tobytes(), "words": words.tobytes(), "learned": _narrow(learned), "order": _narrow(order),
+        "chunk": chunk, "ids": ids, "sizes": size.tolist(), "train": np.packbits(train).tobytes(), "words": words[order].tobytes(), "learned": _narrow(learned[order]),
         "length": len(kept), "places": pa.compress(kept, "zstd", asbytes=True),
     }
 
@@ -246,10 +269,12 @@ def _packed_chunk(chunk: int, ids: list, texts: list[np.ndarray], train: np.ndar
 def _word_messages(row: dict, shards: int) -> Iterator[dict]:
     """What a chunk asks: its distinct words, in ranges of hashes, and how often its training documents have them."""
     words, learned = np.frombuffer(row["words"], np.uint64), _wide(row["learned"])
+    order = np.argsort(words)
+    words, learned = words[order], learned[order]
     shard = ((words >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
     cuts = np.r_[0, np.flatnonzero(shard[1:] != shard[:-1]) + 1, len(words)]
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        yield {"shard": int(shard[a]), "chunk": row["chunk"], "words": words[a:b].tobytes(), "learned": _narrow(learned[a:b])}
+        yield {"shard": int(shard[a]), "chunk": row["chunk"], "first": words[a:a + 1].tobytes(), "words": EliasFano.pack(words[a:b] - words[a]), "learned": _narrow(learned[a:b])}
 
 
 def _summed(rows: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -262,26 +287,27 @@ def _summed(rows: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _word_answers(rows: list[dict]) -> Iterator[dict]:
     """To each chunk of a shard of words their counts; the first answer has the shard's sum and number of learned words too."""
-    _, counts, where = _summed([np.frombuffer(r["words"], np.uint64) for r in rows], [_wide(r["learned"]) for r in rows])
+    _, counts, where = _summed([EliasFano(r["words"]).values() + np.frombuffer(r["first"], np.uint64) for r in rows], [_wide(r["learned"]) for r in rows])
     n, types = int(counts.sum()), int((counts > 0).sum())
     for r, at in zip(rows, where, strict=True):
         yield {"chunk": r["chunk"], "shard": r["shard"], "answer": _narrow(counts[at]), "n": n, "types": types}
         n = types = 0
 
 
+def _in_order(answers: list[dict] | None) -> list[dict]:
+    return sorted(answers or [], key=lambda r: r["shard"])
+
+
 class Places:
     """A chunk with the counts of its words: the logarithms of its places' backed-off probabilities, and its distinct pairs in the order of their shards."""
 
-    def __init__(self, rows: list[dict], total: int, types: int, starts: int, shards: int):
-        own, answers = rows[0], [r for r in rows if r["phase"] == 1]
-        if own["phase"] or any(r["phase"] == 0 for r in rows[1:]):
-            raise ValueError("a chunk has not one row of its own")
+    def __init__(self, own: dict, total: int, types: int, starts: int, shards: int):
         self.ids, self.size = own["ids"], np.array(own["sizes"])
         words = np.r_[np.frombuffer(own["words"], np.uint64), np.uint64(START)]
-        count = np.r_[np.concatenate([_wide(r["answer"]).astype(np.int64) for r in answers]), starts]
-        if len(count) != len(words):
-            raise ValueError("a chunk's words are not all answered")
-        place = _wide(own["order"]).astype(np.int64)[_wide(pa.decompress(own["places"], own["length"], "zstd", asbytes=True))]
+        count = np.empty(len(words), np.int64)
+        count[np.argsort(words[:-1])] = np.concatenate([_wide(r["answer"]) for r in _in_order(own["counts"])])
+        count[-1] = starts
+        place = _wide(pa.decompress(own["places"], own["length"], "zstd", asbytes=True)).astype(np.int64)
         before = np.r_[0, place[:-1]]
         before[np.cumsum(self.size) - self.size] = len(words) - 1
         self.document = np.repeat(np.arange(len(self.size)), self.size)
@@ -315,9 +341,9 @@ class Places:
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             yield {"shard": int(self.shard[a]), "chunk": chunk, "pairs": EliasFano.pack(self.number[a:b]), "learned": _narrow(self.learned[a:b]), "ratios": self.ratio[a:b].tobytes()}
 
-    def scores(self, answers: list[dict]) -> np.ndarray:
+    def scores(self, answers: list[dict] | None) -> np.ndarray:
         """The documents' log10 probabilities, with what their pairs gain over the backed-off values."""
-        codes = np.concatenate([np.frombuffer(r["answer"], np.uint16) for r in answers] or [np.zeros(0, np.uint16)])
+        codes = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(r["answer"], np.uint16) for r in _in_order(answers))])
         if len(codes) != len(self.shard):
             raise ValueError("a chunk's pairs are not all answered")
         score = self.plain.copy()
@@ -351,66 +377,68 @@ def score(docs: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, shard_tokens:
     starts = int(learned or 0)
     binary, long = pa.binary(), pa.int64()
 
-    own_columns = {"chunk": long, "ids": pa.list_(id_type), "sizes": pa.list_(long), "train": binary, "words": binary, "learned": binary, "order": binary, "length": long, "places": binary}
-    own_schema = f"chunk long, ids array<{kind}>, sizes array<long>, train binary, words binary, learned binary, order binary, length long, places binary"
+    own_columns = {"chunk": long, "ids": pa.list_(id_type), "sizes": pa.list_(long), "train": binary, "words": binary, "learned": binary, "length": long, "places": binary}
+    own_schema = f"chunk long, ids array<{kind}>, sizes array<long>, train binary, words binary, learned binary, length long, places binary"
+    buckets = min(shards, MOST_BUCKETS)
 
     def cut(batches):
-        """Chunks of documents, over batches; a chunk's number is its task's and its place there."""
-        chunk, ids, texts, flags, held = TaskContext.get().partitionId() << 32, [], [], [], 0
+        """Chunks of documents, over batches."""
+        numbers, ids, texts, flags, held = _chunk_numbers(TaskContext.get().partitionId(), buckets), [], [], [], 0
         for batch in batches:
             for id_, text, flag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if ids and held + len(text) > chunk_bytes:
-                    yield _rows(own_columns, [_packed_chunk(chunk, ids, texts, np.array(flags, bool))])
-                    chunk, ids, texts, flags, held = chunk + 1, [], [], [], 0
+                    yield _rows(own_columns, [_packed_chunk(next(numbers), ids, texts, np.array(flags, bool))])
+                    ids, texts, flags, held = [], [], [], 0
                 ids.append(id_)
                 texts.append(token_hashes(text))
                 flags.append(flag)
                 held += len(text) + 1
         if ids:
-            yield _rows(own_columns, [_packed_chunk(chunk, ids, texts, np.array(flags, bool))])
+            yield _rows(own_columns, [_packed_chunk(next(numbers), ids, texts, np.array(flags, bool))])
 
-    # written, so that a task that runs again can't cut other chunks
-    chunks = scratch.cut(plain.mapInArrow(lean(cut), own_schema))
+    # written, so that a task that runs again can't cut other chunks, and in buckets, so that answers go to the chunks
+    chunks = scratch.bucketed(plain.mapInArrow(lean(cut), own_schema), "chunk", buckets)
 
     def ask_words(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                yield _rows({"shard": pa.int32(), "chunk": long, "words": binary, "learned": binary}, list(_word_messages(row, shards)))
+                yield _rows({"shard": pa.int32(), "chunk": long, "first": binary, "words": binary, "learned": binary}, list(_word_messages(row, shards)))
 
     def answer_words(batches):
         for rows in _grouped(batches, "shard"):
             yield _rows({"chunk": long, "shard": pa.int32(), "answer": binary, "n": long, "types": long}, list(_word_answers(rows)))
 
-    asked = chunks.select("chunk", "words", "learned").mapInArrow(lean(ask_words), "shard int, chunk long, words binary, learned binary")
+    asked = chunks.select("chunk", "words", "learned").mapInArrow(lean(ask_words), "shard int, chunk long, first binary, words binary, learned binary")
     counted = asked.repartition(shards, "shard").sortWithinPartitions("shard", "chunk")
     counted = scratch.cut(counted.mapInArrow(lean(answer_words), "chunk long, shard int, answer binary, n long, types long"))
     total, types = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum("types")).first())
 
-    own = chunks.drop("learned").withColumns({"phase": F.lit(0), "shard": F.lit(-1), "answer": F.lit(None).cast("binary")})
-    answers = counted.select("chunk", F.lit(1).alias("phase"), "shard", "answer")
-    with_counts = own.unionByName(answers, allowMissingColumns=True)
+    def by_chunk(answers: DataFrame, name: str) -> DataFrame:
+        """A chunk's answers, one for each message that it sent, partitioned as the chunks are."""
+        return answers.repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("shard", "answer")).alias(name)).hint("merge")
+
+    own = chunks.drop("learned").join(by_chunk(counted, "counts"), "chunk")
 
     def ask_pairs(batches):
-        for rows in _grouped(batches, "chunk"):
-            places = Places(rows, total, types, starts, shards)
-            yield _rows({"shard": pa.int32(), "chunk": long, "pairs": binary, "learned": binary, "ratios": binary}, list(places.messages(rows[0]["chunk"])))
+        for batch in batches:
+            for row in batch.to_pylist():
+                places = Places(row, total, types, starts, shards)
+                yield _rows({"shard": pa.int32(), "chunk": long, "pairs": binary, "learned": binary, "ratios": binary}, list(places.messages(row["chunk"])))
 
     def answer_pairs(batches):
         for rows in _grouped(batches, "shard"):
             yield _rows({"chunk": long, "shard": pa.int32(), "answer": binary}, list(_pair_answers(rows)))
 
     def finish(batches):
-        for rows in _grouped(batches, "chunk"):
-            places = Places(rows, total, types, starts, shards)
-            scores = places.scores([r for r in rows if r["phase"] == 2])
-            columns = [pa.array(places.ids, id_type), pa.array(places.size, long), pa.array(places.known.astype(np.int64), long), pa.array(places.base), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    order = ["chunk", "phase", "shard"]
-    sent = with_counts.repartition("chunk").sortWithinPartitions(*order).mapInArrow(lean(ask_pairs), "shard int, chunk long, pairs binary, learned binary, ratios binary")
+        for batch in batches:
+            for row in batch.to_pylist():
+                places = Places(row, total, types, starts, shards)
+                columns = [pa.array(places.ids, id_type), pa.array(places.size, long), pa.array(places.known.astype(np.int64), long), pa.array(places.base), pa.array(places.scores(row["codes"]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    sent = own.mapInArrow(lean(ask_pairs), "shard int, chunk long, pairs binary, learned binary, ratios binary")
     found = sent.repartition(shards, "shard").sortWithinPartitions("shard", "chunk").mapInArrow(lean(answer_pairs), "chunk long, shard int, answer binary")
-    whole = with_counts.unionByName(found.withColumn("phase", F.lit(2)), allowMissingColumns=True)
-    done = whole.repartition("chunk").sortWithinPartitions(*order).mapInArrow(lean(finish), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+    done = own.join(by_chunk(found, "codes"), "chunk", "left").mapInArrow(lean(finish), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return done.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

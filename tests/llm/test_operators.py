@@ -371,6 +371,12 @@ def test_ngram_trie_structure():
     assert (trie.look_up(other) == 0).all() and len(ngramtrie.Trie(ngramtrie.Trie.build(pairs[:0], codes[:0])).look_up(other)) == len(other)
 
 
+def test_ngram_trie_buckets(spark):
+    keys = [0, 1, 7 << 40, (7 << 40) + 5, 1 << 62]
+    spark_has = [r[0] for r in spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k long").orderBy("i").select(F.pmod(F.hash("k"), F.lit(13))).collect()]
+    assert ngramtrie.bucket(np.array(keys, np.uint64), 13).tolist() == spark_has
+
+
 @pytest.mark.parametrize(("chunk_bytes", "shard_tokens"), [(4 << 20, 2_500_000), (300, 1000)])
 def test_ngram_scores(docs, nothing, rows, chunk_bytes, shard_tokens):
     found = by_id(ngramtrie.held_out(docs, chunk_bytes, shard_tokens))
