@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tessera.llm.common import Scratch, lean, remainder, small_batches
 
 #: Bytes of text of a chunk, unless one document has more, and tokens of a shard, about.
-CHUNK_BYTES, SHARD_TOKENS = 4 << 20, 2_500_000
+CHUNK_BYTES, SHARD_TOKENS = 4 << 20, 1_250_000
 #: The unigram's weight is TOP * c(u) ** -FALL.
 TOP, FALL = 0.95, 0.1
 #: Steps of quantised values in 16 bits: of a logarithm to base 2, around RATIO_ZERO, and of a gain's logarithm to base 10.
