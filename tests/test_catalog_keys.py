@@ -23,3 +23,10 @@ def test_parts_cost_what_their_paragraphs_cost(spark, tmp_path):
     conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "text"])
     got, want = compared(spark, tmp_path, "split_oversized_chunks", conversations=conversations)
     assert sorted(got) == sorted(want) and ("c1", 1) in got and ("c2", 2) in got
+
+
+def test_header_costs_what_the_sql_starts_with(spark, tmp_path):
+    rows = [(1, 10_000 + i, 1, 5) for i in range(97)] + [(1, 1, 1, 5)]  # 97 rows of four tokens, one of three
+    rows += [(2, *r[1:]) for r in rows[:-1]] + [(2, 2, 1, 5), (2, 3, 1, 5)]
+    got, want = compared(spark, tmp_path, "split_table_header_repeat", lineitem=pd.DataFrame(rows, columns=["l_suppkey", "l_orderkey", "l_linenumber", "l_partkey"]))
+    assert sorted(got) == sorted(want) == [(1, 1, 98), (2, 2, 99)]
