@@ -17,6 +17,15 @@ def compared(spark, folder, name, **tables):
     return [tuple(r) for r in got.collect()], want
 
 
+def suppliers(*keys):
+    return pd.DataFrame({"s_suppkey": list(keys), "s_name": [f"Supplier {k}" for k in keys]})
+
+
+def test_names_of_five_digits_come_last(spark, tmp_path):
+    got, want = compared(spark, tmp_path, "front_matter_parse", supplier=suppliers(60_001, 10_000, 7, 9_998, 3))
+    assert [r[0] for r in got] == ["ISA-7", "ISA-9998", "ISA-10000", "ISA-60001"] and sorted(got) == sorted(want)
+
+
 def test_parts_cost_what_their_paragraphs_cost(spark, tmp_path):
     turns = {1: [500, 500], 2: [500, 500, 8], 3: [400, 404, 200], 4: [333, 331, 335, 9, 640], 7: [2000], 8: [1000, 1], 9: [1001], 10: [996]}
     rows = [(c, k, f" {'x' * n} " if c % 2 else "x" * n) for c, sizes in turns.items() for k, n in enumerate(sizes)] + [(3, 9, " "), (11, 0, None), (14, 0, None), (15, 0, ""), (16, 0, None), (16, 1, "x")]
