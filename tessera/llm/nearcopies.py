@@ -214,10 +214,13 @@ def _strays(scope: DataFrame) -> DataFrame:
     stray = scope.where("root <> main").select("main", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to"), F.col("both").alias("ib"))
     lack = F.ceil((F.col("na") + F.col("nb")) * (LEAST / (1 + LEAST)) - 1e-6) - F.least("ia", "ib")
     by_size = own.join(stray, "main").where((F.col("root") != F.col("to")) & (lack <= 0))
-    each = scope.select("main", "key", "n", "root", "both", F.explode("rest").alias("shingle"))
-    held = each.groupBy("main", "shingle").agg(F.count("*").alias("held"))
-    order = Window.partitionBy("main", "key").orderBy("held", "shingle")
-    ranked = each.join(held, ["main", "shingle"]).withColumn("at", F.row_number().over(order)).where("held > 1")
+    each = scope.select("main", "key", "n", "root", "both", F.size("rest").alias("besides"), F.explode("rest").alias("shingle"))
+    held = each.groupBy("main", "shingle").agg(F.count("*").alias("held")).where("held > 1")
+    own_ = Window.partitionBy("main", "key")
+    # shingles of one key only are its first, whatever their order: they are counted, not ranked
+    at = F.col("besides") - F.count("*").over(own_) + F.row_number().over(own_.orderBy("held", "shingle"))
+    # of any pair of sizes that fit; what is behind that is shared too late
+    ranked = each.join(held, ["main", "shingle"]).withColumn("at", at).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * LEAST - 1e-5) + 1)
     one = ranked.select("main", "shingle", F.col("key").alias("a"), F.col("n").alias("na"), "root", F.col("both").alias("ia"), F.col("at").alias("at_a"))
     two = ranked.where("root <> main").select("main", "shingle", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("to"), F.col("both").alias("ib"), F.col("at").alias("at_b"))
     early = (F.col("at_a") <= F.col("na") - F.col("ia") - lack + 1) & (F.col("at_b") <= F.col("nb") - F.col("ib") - lack + 1)
