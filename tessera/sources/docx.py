@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched
+from typing import IO
 from xml.etree import ElementTree as ET
 from xml.parsers import expat
 
@@ -25,6 +27,8 @@ from tessera.operators.validate import latest
 
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 MAX_DEPTH = 10
+#: Bytes of a part that are parsed at once, and rows of a batch of output.
+READ_BYTES, OUT_ROWS = 1 << 16, 1000
 # List formats that are told apart; any other counts in decimals.
 FORMATS = ["decimal", "lowerLetter", "lowerRoman", "upperLetter", "upperRoman", "bullet"]
 SCHEMAS = {
@@ -58,6 +62,48 @@ def parse_xml(content: bytes) -> ET.Element:
     return builder.close()
 
 
+def units(xml: IO[bytes], *path: str) -> Iterator[ET.Element]:
+    """The children of the first element at a path of tags below the root, each let go of before the next is read; what parse_xml() refuses is refused.
+
+    A document type can only stand before the root: a parser of its own reads up to there, ahead of the one that builds elements."""
+    guard, builder = expat.ParserCreate(), ET.XMLPullParser(("start", "end"))
+    guarded, depth, at, holder = True, 0, 0, None
+
+    def refuse(*_):
+        raise UnsafeXML("[XML] document types and entities are refused")
+
+    def begun(*_):
+        nonlocal guarded
+        guarded = False
+
+    guard.StartDoctypeDeclHandler = guard.EntityDeclHandler = guard.ExternalEntityRefHandler = refuse
+    guard.StartElementHandler = begun
+    over = False
+    while not over:
+        read = xml.read(READ_BYTES)
+        over = not read
+        if guarded:
+            guard.Parse(read, over)
+        if over:
+            builder.close()
+        else:
+            builder.feed(read)
+        for event, e in builder.read_events():
+            if event == "start":
+                if holder is None and at == depth and (depth == 0 or e.tag == W + path[depth - 1]):
+                    at += 1
+                    if at == len(path) + 1:
+                        holder = e
+                depth += 1
+            else:
+                depth -= 1
+                if e is holder:
+                    holder, at = None, -1  # only the first
+                elif holder is not None and depth == len(path) + 1:
+                    yield e
+                    holder.remove(e)
+
+
 def whole(value: str | None) -> int | None:
     try:
         return None if value is None else int(value)
@@ -98,7 +144,7 @@ def body_rows(table: ET.Element) -> list[dict]:
     return out
 
 
-def elements(parent: ET.Element, descend: bool, depth: int = 0) -> Iterator[ET.Element]:
+def elements(parent: Iterable[ET.Element], descend: bool, depth: int = 0) -> Iterator[ET.Element]:
     """Paragraphs and tables in order, content controls unwrapped; with descend also those within tables, behind the table."""
     if depth > MAX_DEPTH:
         raise ValueError(f"[DOCX] elements nest deeper than {MAX_DEPTH}")
@@ -123,14 +169,13 @@ def rows_of(file, name: str, part: str, descend: bool = False) -> Iterator[tuple
             if part == "body":
                 raise ValueError(f"[DOCX] {name}: no {inner}")
             return
-        root = parse_xml(z.read(inner))
-    yield from {"body": _body, "styles": _styles, "nums": _nums, "levels": _levels}[part](root, name, descend)
+        with z.open(inner) as xml:
+            yield from {"body": _body, "styles": _styles, "nums": _nums, "levels": _levels}[part](xml, name, descend)
 
 
-def _body(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
-    body = root.find(W + "body")
+def _body(xml: IO[bytes], name: str, descend: bool) -> Iterator[tuple]:
     pos = 0
-    for e in elements(body, descend) if body is not None else ():
+    for e in elements(units(xml, "body"), descend):
         if e.tag == W + "p":
             text = paragraph_text(e).strip()
             if text:
@@ -147,22 +192,22 @@ def _body(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
 def _placed(make):
     """make's rows with their position in the part behind the file's name."""
 
-    def rows(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
-        yield from ((name, pos, *row[1:]) for pos, row in enumerate(make(root, name, descend)))
+    def rows(xml: IO[bytes], name: str, descend: bool) -> Iterator[tuple]:
+        yield from ((name, pos, *row[1:]) for pos, row in enumerate(make(xml, name, descend)))
 
     return rows
 
 
 @_placed
-def _styles(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
-    for style in root.findall(W + "style"):
-        if (found := style.get(W + "styleId")) is not None:
+def _styles(xml: IO[bytes], name: str, descend: bool) -> Iterator[tuple]:
+    for style in units(xml):
+        if style.tag == W + "style" and (found := style.get(W + "styleId")) is not None:
             yield name, found, value_at(style, "name"), value_at(style, "basedOn"), value_at(style, "pPr", "numPr", "numId"), whole(value_at(style, "pPr", "numPr", "ilvl"))
 
 
 @_placed
-def _nums(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
-    for num in root.iter(W + "num"):
+def _nums(xml: IO[bytes], name: str, descend: bool) -> Iterator[tuple]:
+    for num in (n for unit in units(xml) for n in unit.iter(W + "num")):
         found, abstract = num.get(W + "numId"), value_at(num, "abstractNumId")
         if found is not None and abstract is not None:
             starts = ((whole(o.get(W + "ilvl")), whole(value_at(o, "startOverride"))) for o in num.findall(W + "lvlOverride"))
@@ -170,8 +215,8 @@ def _nums(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
 
 
 @_placed
-def _levels(root: ET.Element, name: str, descend: bool) -> Iterator[tuple]:
-    for abstract in root.iter(W + "abstractNum"):
+def _levels(xml: IO[bytes], name: str, descend: bool) -> Iterator[tuple]:
+    for abstract in (a for unit in units(xml) for a in unit.iter(W + "abstractNum")):
         found = abstract.get(W + "abstractNumId")
         for lvl in abstract.findall(W + "lvl") if found is not None else ():
             if (ilvl := whole(lvl.get(W + "ilvl"))) is not None:
@@ -185,16 +230,15 @@ KEYS = {"styles": ["style_id"], "nums": ["num_id"], "levels": ["abstract_id", "i
 
 
 def parsed(files: DataFrame, part: str = "body", descend: bool = False) -> DataFrame:
-    """A part of files (name, content); each file is parsed by one task. Of a style, list or level that stands several times the last row stays."""
+    """A part of files (name, content); each file is parsed by one task, which holds a paragraph, a table or a list at a time. Of a style, list or level that stands several times the last row stays."""
     schema = StructType.fromDDL(SCHEMAS[part])
 
     def run(batches):
         arrow = to_arrow_schema(schema)
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = [dict(zip(schema.fieldNames(), row, strict=True)) for row in rows_of(io.BytesIO(content), name, part, descend)]
-                for at in range(0, len(rows), 1000):
-                    yield pa.RecordBatch.from_pylist(rows[at : at + 1000], schema=arrow)
+        files_ = ((batch.column(0)[i].as_py(), batch.column(1)[i].as_py()) for batch in batches for i in range(batch.num_rows))
+        rows = (row for name, content in files_ for row in rows_of(io.BytesIO(content), name, part, descend))
+        for some in batched(rows, OUT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), arrow, strict=True)], schema=arrow)
 
     rows = files.select("name", "content").mapInArrow(run, schema)
     return latest(rows, ["source_file", *KEYS[part]], "pos").drop("pos") if part in KEYS else rows
