@@ -32,7 +32,7 @@ def vectors(spark, n, name):
 
 
 #: k and the grouping of a query.
-SEARCHES = {"retrieval_eval_grouped": (11, None), "context_builder": (5, None), "knn_topk": (5, None)}
+SEARCHES = {"retrieval_eval_grouped": (11, None), "context_builder": (5, None), "knn_topk": (5, None), "knn_filtered_topk": (6, None)}
 
 
 @pytest.mark.parametrize("name", sorted(SEARCHES))
